@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
 
 from ..config import AGE_VALUES, LEVELS, SEX_VALUES, all_category_codes, DEFAULT_SPEC, PanelSpec
+from ..operators.derive import derive_gaps
 from ..operators.flags import assign_fixture_flags
 from ..operators.metrics import entity_metrics
 from ..operators.panel import build_panel
@@ -54,13 +55,14 @@ def cells(spark: SparkSession, sf_dir: str, entity: str = "nation",
 
 def fact(spark: SparkSession, sf_dir: str, entity: str = "nation",
          spec: PanelSpec = DEFAULT_SPEC, cache: bool = True) -> DataFrame:
-    """The flagged panel = fact table.  Persisted (memory+disk) per session so
+    """The flagged panel with its derived columns = fact table.  Persisted (memory+disk) per session so
     that the queries of one session share a single build; losing an executor
     only recomputes the lost blocks from lineage."""
     key = _key(spark, sf_dir, f"fact:{entity}")
     if cache and key in _CACHE:
         return _CACHE[key]
-    df = assign_fixture_flags(cells(spark, sf_dir, entity, spec))
+    df = derive_gaps(assign_fixture_flags(cells(spark, sf_dir, entity, spec)),
+                     ref_level=spec.ref_level, bench_entity=spec.aggregate_entity)
     if cache:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
         _CACHE[key] = df

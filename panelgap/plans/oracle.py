@@ -77,14 +77,20 @@ fflag AS (
   WHERE NOT c.is_aggregate
     AND NOT EXISTS (SELECT 1 FROM fnull x WHERE x.entity = c.entity AND x.category_code = c.category_code)
   ORDER BY c.n, c.entity, c.category_code LIMIT {N_FLAGGED_CELLS}),
-fact AS (
+fact0 AS (
   SELECT c.entity, c.is_aggregate, c.category_code, c.level, c.ls, c.os, c.n, c.hits,
          CASE WHEN x.entity IS NULL THEN c.pct END AS pct,
          CASE WHEN x.entity IS NOT NULL OR y.entity IS NOT NULL THEN 'u' END AS quality_flag,
          NOT (x.entity IS NOT NULL OR y.entity IS NOT NULL) AS is_reliable
   FROM cells c
   LEFT JOIN fnull x ON x.entity = c.entity AND x.category_code = c.category_code
-  LEFT JOIN fflag y ON y.entity = c.entity AND y.category_code = c.category_code)"""
+  LEFT JOIN fflag y ON y.entity = c.entity AND y.category_code = c.category_code),
+fact AS (
+  SELECT f.*, ROUND(100.0e0 - f.pct, 4) AS pct_excluded, ROUND(r.pct - f.pct, 4) AS gap_vs_ref,
+         ROUND(f.pct - b.pct, 4) AS pct_vs_bench
+  FROM fact0 f
+  LEFT JOIN fact0 r ON r.entity = f.entity AND r.ls = f.ls AND r.os = f.os AND r.level = 'L_NONE'
+  LEFT JOIN fact0 b ON b.entity = '{AGGREGATE_ENTITY}' AND b.level = f.level AND b.ls = f.ls AND b.os = f.os)"""
 
 
 def dims_cte() -> str:
