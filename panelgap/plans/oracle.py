@@ -119,3 +119,40 @@ def with_fact(body: str, entity: str = "nation") -> str:
 
 def with_cells(body: str, entity: str = "nation") -> str:
     return "WITH " + cells_cte(entity) + "\n" + body
+
+
+def mart_cte(low: float = 0.0, high: float = 4.0) -> str:
+    """The mart as SQL: wide pivot + gaps + band + ordinal rank."""
+    return f""",
+m0 AS (
+  SELECT entity, is_aggregate,
+    MAX(CASE WHEN category_code = 'L_NONE' THEN pct END) AS pct_ref,
+    MAX(CASE WHEN category_code = 'L_SEV' THEN pct END) AS pct_sev,
+    MAX(CASE WHEN category_code = 'L_LTD' THEN pct END) AS pct_ltd,
+    MAX(CASE WHEN category_code = 'L_LTD_SEV' THEN pct END) AS pct_ltd_sev,
+    MAX(CASE WHEN category_code = 'GF_L_SEV' THEN pct END) AS pct_female_sev,
+    MAX(CASE WHEN category_code = 'GO_L_SEV' THEN pct END) AS pct_male_sev,
+    MAX(CASE WHEN category_code = 'BO_L_SEV' THEN pct END) AS pct_mid_sev,
+    MAX(CASE WHEN category_code = 'BP_L_SEV' THEN pct END) AS pct_old_sev
+  FROM fact
+  WHERE category_code IN ('L_NONE', 'L_SEV', 'L_LTD', 'L_LTD_SEV', 'GF_L_SEV', 'GO_L_SEV', 'BO_L_SEV', 'BP_L_SEV')
+  GROUP BY entity, is_aggregate),
+m1 AS (
+  SELECT *, ROUND(pct_ref - pct_sev, 2) AS gap_total, ROUND(pct_male_sev - pct_female_sev, 2) AS gap_gender,
+         ROUND(pct_mid_sev - pct_old_sev, 2) AS gap_age
+  FROM m0),
+mart AS (
+  SELECT *,
+    ROUND(gap_total - (SELECT MAX(gap_total) FROM m1 WHERE entity = '{AGGREGATE_ENTITY}'), 2) AS gap_vs_bench,
+    ROUND(100.0e0 - pct_sev, 2) AS pct_excluded_sev,
+    CASE WHEN is_aggregate THEN NULL WHEN gap_total IS NULL THEN NULL
+         WHEN gap_total < {low!r} THEN 'High inclusion' WHEN gap_total > {high!r} THEN 'Extreme case'
+         ELSE 'Medium inclusion' END AS inclusion_group,
+    CASE WHEN NOT is_aggregate AND gap_total IS NOT NULL
+         THEN CAST(ROW_NUMBER() OVER (PARTITION BY (NOT is_aggregate AND gap_total IS NOT NULL)
+                                      ORDER BY gap_total DESC, entity) AS BIGINT) END AS rank_by_gap
+  FROM m1)"""
+
+
+def with_mart(body: str, low: float = 0.0, high: float = 4.0) -> str:
+    return "WITH " + fact_cte() + ",\n" + dims_cte() + mart_cte(low, high) + "\n" + body
