@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import queries as _q  # noqa: F401
 from . import reports as _r  # noqa: F401
 from . import pipeline as _p  # noqa: F401
+from . import scale as _s  # noqa: F401
 from .registry import REGISTRY
 
 
