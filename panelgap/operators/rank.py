@@ -104,12 +104,13 @@ def top_k(df: DataFrame, k: int, order: Sequence[Column | str]) -> DataFrame:
     return df.orderBy(*[_col(c) for c in order]).limit(k)
 
 
-def top_k_per_group(df: DataFrame, group: str, k: int, order: Sequence[Column | str],
+def top_k_per_group(df: DataFrame, group: str | Sequence[str], k: int, order: Sequence[Column | str],
                     out: str = "rank") -> DataFrame:
     """Per-group top-k by RANK <= k.
 
     Spark plans a ``WindowGroupLimit`` below the exchange, so each map task
     forwards at most k rows per group (plus ties): a hot group never ships
     more than k rows per task to the window."""
-    w = Window.partitionBy(group).orderBy(*[_col(c) for c in order])
+    groups = [group] if isinstance(group, str) else list(group)
+    w = Window.partitionBy(*groups).orderBy(*[_col(c) for c in order])
     return df.withColumn(out, F.rank().over(w).cast("long")).where(F.col(out) <= k)

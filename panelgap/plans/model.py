@@ -92,3 +92,16 @@ def clear_cache() -> None:
         except Exception:
             pass
     _CACHE.clear()
+
+
+def ml_frame(spark: SparkSession, sf_dir: str, cache: bool = True) -> DataFrame:
+    """Labelled, encoded, fold-assigned ML sample (persisted per session)."""
+    from ..ml.sample import ml_frame as build
+    key = _key(spark, sf_dir, "ml")
+    if cache and key in _CACHE:
+        return _CACHE[key]
+    df = build(fact(spark, sf_dir, cache=cache))
+    if cache:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        _CACHE[key] = df
+    return df
