@@ -17,6 +17,7 @@ from ..operators.derive import derive_gaps
 from ..operators.flags import assign_fixture_flags
 from ..operators.metrics import entity_metrics
 from ..operators.panel import build_panel
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import entity_dim, panel_microdata
 
 _CACHE: dict = {}
@@ -61,7 +62,13 @@ def fact(spark: SparkSession, sf_dir: str, entity: str = "nation",
     key = _key(spark, sf_dir, f"fact:{entity}")
     if cache and key in _CACHE:
         return _CACHE[key]
-    df = derive_gaps(assign_fixture_flags(cells(spark, sf_dir, entity, spec)),
+    # The cube is read three times below (two top-k selections, broadcast
+    # concurrently, and the flagged result).  Materialise it once into the
+    # checkpoint folder: one microdata job, and the fact's lineage starts at
+    # reliable storage, so a lost executor never re-runs the microdata join.
+    ensure_checkpoint_dir(spark)
+    base = cells(spark, sf_dir, entity, spec).checkpoint(eager=True)
+    df = derive_gaps(assign_fixture_flags(base),
                      ref_level=spec.ref_level, bench_entity=spec.aggregate_entity)
     if cache:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -81,8 +88,16 @@ def mart(spark: SparkSession, sf_dir: str, spec: PanelSpec = DEFAULT_SPEC,
     return df
 
 
-def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entity_dim(spark, sf_dir)
+def entities(spark: SparkSession, sf_dir: str, cache: bool = True) -> DataFrame:
+    """dim_entity (nation x region + aggregate row), cached per session."""
+    key = _key(spark, sf_dir, "dim_entity")
+    if cache and key in _CACHE:
+        return _CACHE[key]
+    df = entity_dim(spark, sf_dir)
+    if cache:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        _CACHE[key] = df
+    return df
 
 
 def clear_cache() -> None:

@@ -68,7 +68,9 @@ FROM fact"""))(raw_profile)
 
 
 def expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = clean_panel_q(spark, sf_dir)
+    # the cleaned panel is read by four check branches: materialise it once
+    # (eagerly, so the branches do not race to compute it)
+    clean = clean_panel_q(spark, sf_dir).checkpoint(eager=True)
     return check_panel(clean, model.entities(spark, sf_dir), model.dim_category(spark),
                        n_categories=len(CODES), allowed_null_categories=[NULL_CATEGORY],
                        required=CLEAN_COLUMNS)
