@@ -26,12 +26,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.rank import top_k_per_group
+from ..session import ensure_checkpoint_dir
 
 
 def knn_predict(train: DataFrame, test: DataFrame, features: Sequence[str], k: int = 5,
                 label: str = "label", key: str = "key", radius: int = 2,
                 out: str = "prediction") -> DataFrame:
     features = list(features)
+    ensure_checkpoint_dir(train.sparkSession)
     t_cols = [f"_t{i}" for i in range(len(features))]
     reduced = top_k_per_group(train.select(*features, label, key), features, k, [F.col(key).asc()],
                               out="_kr").drop("_kr")
