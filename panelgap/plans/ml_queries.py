@@ -189,11 +189,9 @@ s AS (
 SELECT ROUND(AVG(s), 6) AS silhouette FROM s"""))(silhouette)
 
 
-def kmeans_clusters(spark: SparkSession, sf_dir: str, k: int = 3) -> DataFrame:
-    pts = _points(spark, sf_dir)
-    m, _, vec = kmeans_restarts(pts, ["gap_total_z", "pct_sev_z"], k)
-    pred = m.transform(vec)
-    return (relabel_by_mean(pred, "gap_total")
+def kmeans_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3/M6: K-Means k=3 (best of 10 seeds), clusters renumbered by mean gap."""
+    return (_clusters(spark, sf_dir)
             .select("entity", "gap_total", "pct_sev", "cluster", "group_name")
             .orderBy(F.col("gap_total").desc(), "entity"))
 
@@ -245,3 +243,34 @@ def profile_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 query("profile_scores", note="MLlib fit: rows-only")(profile_scores)
+
+
+def _clusters(spark, sf_dir):
+    key = model._key(spark, sf_dir, "kmeans")
+    if key not in model._CACHE:
+        pts = _points(spark, sf_dir)
+        m, _, vec = kmeans_restarts(pts, ["gap_total_z", "pct_sev_z"], 3)
+        model._CACHE[key] = relabel_by_mean(m.transform(vec), "gap_total").persist()
+    return model._CACHE[key]
+
+
+def cluster_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean features and size per (relabelled) cluster."""
+    return (_clusters(spark, sf_dir).groupBy("cluster", "group_name")
+            .agg(F.avg("gap_total").alias("mean_gap_total"), F.avg("pct_sev").alias("mean_pct_sev"),
+                 F.count(F.lit(1)).alias("n_entities"))
+            .orderBy("cluster"))
+
+
+query("cluster_means", note="depends on the K-Means fit: rows-only")(cluster_means)
+
+
+def cluster_check(spark: SparkSession, sf_dir: str, entities=("NATION_3", "NATION_7")) -> DataFrame:
+    """M7: do the named entities share one cluster?"""
+    c = _clusters(spark, sf_dir).where(F.col("entity").isin(*entities))
+    return c.agg(F.count(F.lit(1)).alias("n_found"), F.count_distinct("cluster").alias("n_clusters"),
+                 (F.count_distinct("cluster") == 1).alias("same_cluster"),
+                 F.array_sort(F.collect_set("group_name")).alias("groups"))
+
+
+query("cluster_check", note="depends on the K-Means fit: rows-only")(cluster_check)
