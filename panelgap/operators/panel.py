@@ -45,24 +45,23 @@ def category_code_expr(level: str = "level", axes: Sequence[tuple[str, str]] = (
     return F.concat(prefix, F.col(level))
 
 
-def build_panel(micro: DataFrame, entity: str = "entity", raw_level: str = "rf",
+def pre_aggregate(micro: DataFrame, entity: str = "entity", raw_level: str = "rf",
+                  axis_cols: Sequence[str] = ("ls", "os"), hit: str = "hit") -> DataFrame:
+    """Detail rows -> (entity, raw level, axis values, n, hits): partial +
+    final aggregation, so skew in any key is absorbed map-side."""
+    return (micro.groupBy(entity, raw_level, *axis_cols)
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(hit).cast("long").alias("hits")))
+
+
+def expand_cube(groups: DataFrame, entity: str = "entity", raw_level: str = "rf",
                 axes: Sequence[tuple[str, str]] = (("ls", SEX_PREFIX), ("os", AGE_PREFIX)),
-                hit: str = "hit",
                 level_map: Mapping[str, str] = RETURNFLAG_LEVEL,
                 aggregate_level: str | None = AGGREGATE_LEVEL,
                 aggregate_members: Sequence[str] = AGGREGATE_LEVEL_MEMBERS,
                 aggregate_entity: str | None = AGGREGATE_ENTITY,
                 total: str = TOTAL) -> DataFrame:
-    """Cells (entity, is_aggregate, category_code, level, <axes>, n, hits, pct).
-
-    ``pct = 100 * hits / n`` as DOUBLE.  One cell per (entity, level) for the
-    level set and per (entity, level, axis value) for each axis; the axes are
-    never crossed with each other, matching the reference cube.
-    """
+    """Pre-aggregated groups -> cube cells (bounded Expand + one aggregation)."""
     axis_cols = [a for a, _ in axes]
-    groups = (micro.groupBy(entity, raw_level, *axis_cols)
-              .agg(F.count(F.lit(1)).alias("n"), F.sum(hit).cast("long").alias("hits")))
-
     lvl = _map_expr(raw_level, level_map)
     if aggregate_level is not None:
         levels = F.when(F.col(raw_level).isin(*aggregate_members),
@@ -92,3 +91,15 @@ def build_panel(micro: DataFrame, entity: str = "entity", raw_level: str = "rf",
         "level", *axis_cols, "n", "hits",
         (F.lit(100.0) * F.col("hits").cast("double") / F.col("n").cast("double")).alias("pct"),
     )
+
+
+def build_panel(micro: DataFrame, entity: str = "entity", raw_level: str = "rf",
+                axes: Sequence[tuple[str, str]] = (("ls", SEX_PREFIX), ("os", AGE_PREFIX)),
+                hit: str = "hit", **kw) -> DataFrame:
+    """Cells (entity, is_aggregate, category_code, level, <axes>, n, hits, pct).
+
+    ``pct = 100 * hits / n`` as DOUBLE.  One cell per (entity, level) for the
+    level set and per (entity, level, axis value) for each axis; the axes are
+    never crossed with each other, matching the reference cube."""
+    groups = pre_aggregate(micro, entity, raw_level, [a for a, _ in axes], hit)
+    return expand_cube(groups, entity, raw_level, axes, **kw)

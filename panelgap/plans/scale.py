@@ -46,3 +46,13 @@ query("topk_per_entity", O.with_cells("""
                CAST(RANK() OVER (PARTITION BY entity ORDER BY pct, category_code) AS BIGINT) AS rank
         FROM cells)
 SELECT * FROM r WHERE rank <= 3""", entity="supplier"))(topk_per_entity)
+
+
+def panel_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cube maintained by Structured Streaming (stateful aggregation of a
+    line-item file stream joined to static orders); equals ``panel_build``."""
+    from ..streaming.panel_stream import panel_from_stream
+    return panel_from_stream(spark, sf_dir)
+
+
+query("panel_stream", O.with_cells("SELECT * FROM cells"))(panel_stream)
