@@ -13,12 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.quantile import exact_quantile
-from ..operators.rank import rank_by
+from ..operators.rank import global_row_number, rank_by
 
 FEATURES = ("level", "ls", "os", "entity")
 CODES = tuple(f"{c}_code" for c in FEATURES)
@@ -40,13 +39,19 @@ def label_rows(fact: DataFrame, threshold: float | Column | None = None, ref_lev
 
 def label_encode(df: DataFrame, cols: Sequence[str] = FEATURES) -> DataFrame:
     """M8: alphabetical codes 0..n-1 per column (LabelEncoder semantics).
-    The fitted model holds the distinct labels of each column (bounded by the
-    column's cardinality); the transform itself is a per-row map lookup."""
-    idx = StringIndexer(inputCols=list(cols), outputCols=[f"_{c}_idx" for c in cols],
-                        stringOrderType="alphabetAsc", handleInvalid="error")
-    out = idx.fit(df).transform(df)
+
+    The dictionary stays distributed: distinct values of each column are
+    numbered with the distributed ordinal and joined back, so no column's
+    distinct values ever pass through the driver (``StringIndexer`` would
+    collect them, which an entity axis of customers cannot afford).  The
+    optimizer broadcasts the small dictionaries and shuffles the large ones.
+    Rows with a NULL feature are dropped, as an encoder rejects them."""
+    out = df
     for c in cols:
-        out = out.withColumn(f"{c}_code", F.col(f"_{c}_idx").cast("long")).drop(f"_{c}_idx")
+        vals = df.select(c).where(F.col(c).isNotNull()).distinct()
+        codes = global_row_number(vals, [F.col(c).asc()], "_code").select(
+            c, (F.col("_code") - F.lit(1)).cast("long").alias(f"{c}_code"))
+        out = out.join(codes, c)
     return out
 
 
