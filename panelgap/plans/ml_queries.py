@@ -274,3 +274,13 @@ def cluster_check(spark: SparkSession, sf_dir: str, entities=("NATION_3", "NATIO
 
 
 query("cluster_check", note="depends on the K-Means fit: rows-only")(cluster_check)
+
+
+def class_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per class in the ML sample."""
+    from ..ml.evaluate import class_balance as balance
+    return balance(_ml(spark, sf_dir))
+
+
+query("class_balance", O.with_fact(ML_SQL + """
+SELECT label, COUNT(*) AS n FROM mls GROUP BY label"""))(class_balance)

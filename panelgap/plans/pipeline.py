@@ -136,3 +136,40 @@ def _fk_sql():
 
 
 query("fk_violations", O.with_fact(_fk_sql()))(fk_violations_q)
+
+
+def range_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values outside [0, 100] plus min and max of the cleaned panel."""
+    from ..operators.clean import range_report
+    return range_report(clean_panel_q(spark, sf_dir))
+
+
+query("range_report", O.with_fact("""
+SELECT COUNT(*) FILTER (WHERE pct IS NOT NULL AND NOT (pct BETWEEN 0 AND 100)) AS n_out_of_range,
+       MIN(pct) AS min_value, MAX(pct) AS max_value
+FROM fact"""))(range_report_q)
+
+
+def load_verify(spark: SparkSession, sf_dir: str, k: int = 3) -> DataFrame:
+    """The loader's control queries in one row: table sizes, the
+    focus entity's gap and the top-k entities by gap (aggregate excluded)."""
+    from ..operators.rank import top_k
+    fact, mart = model.fact(spark, sf_dir), model.mart(spark, sf_dir)
+    top = top_k(mart.where(~F.col("is_aggregate") & F.col("gap_total").isNotNull()), k,
+                [F.col("gap_total").desc(), F.col("entity").asc()])
+    top_s = top.agg(F.array_join(F.transform(F.array_sort(F.collect_list(
+        F.struct((-F.col("gap_total")).alias("g"), F.col("entity").alias("e")))), lambda x: x["e"]), ",")
+        .alias("top")).scalar()
+    one = mart.agg(F.count(F.lit(1)).alias("mart_rows"),
+                   F.max(F.when(F.col("entity") == model.DEFAULT_SPEC.focus_entity, F.col("gap_total")))
+                   .alias("focus_gap"))
+    return one.select(fact.agg(F.count(F.lit(1))).scalar().alias("fact_rows"), "mart_rows", "focus_gap",
+                      top_s.alias("top_entities"))
+
+
+query("load_verify", O.with_mart(f"""
+SELECT (SELECT COUNT(*) FROM fact) AS fact_rows, (SELECT COUNT(*) FROM mart) AS mart_rows,
+       (SELECT MAX(gap_total) FROM mart WHERE entity = 'NATION_3') AS focus_gap,
+       (SELECT STRING_AGG(entity, ',' ORDER BY gap_total DESC, entity)
+        FROM (SELECT entity, gap_total FROM mart WHERE NOT is_aggregate AND gap_total IS NOT NULL
+              ORDER BY gap_total DESC, entity LIMIT 3)) AS top_entities"""))(load_verify)
