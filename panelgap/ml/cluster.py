@@ -56,6 +56,28 @@ def kmeans_restarts(df: DataFrame, cols: Sequence[str], k: int, seeds: Sequence[
     return best, best_cost, vec
 
 
+def kmeans_grid(df: DataFrame, cols: Sequence[str], ks: Sequence[int], seeds: Sequence[int] = range(42, 52),
+                max_iter: int = 300, tol: float = 1e-4, workers: int = 8):
+    """Best-of-restarts K-Means for several k at once: every (k, seed) fit is
+    an independent job, all submitted to one pool.  Returns {k: (model, cost)}
+    and the assembled features."""
+    vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(df).persist()
+
+    def fit(ks_):
+        k, s = ks_
+        m = KMeans(k=k, seed=s, maxIter=max_iter, tol=tol, initMode="k-means||",
+                   featuresCol="features", predictionCol="cluster_raw").fit(vec)
+        return k, s, m, m.summary.trainingCost
+
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        fits = list(pool.map(fit, [(k, s) for k in ks for s in seeds]))
+    best: dict = {}
+    for k, _, m, cost in fits:                   # (k, seed) order: first best wins ties
+        if k not in best or cost < best[k][1] - 1e-12:
+            best[k] = (m, cost)
+    return best, vec
+
+
 def relabel_by_mean(pred: DataFrame, by: str, raw: str = "cluster_raw", out: str = "cluster",
                     names: Sequence[str] | None = CLUSTER_NAMES) -> DataFrame:
     """Renumber clusters 0..k-1 by ascending mean of ``by`` (k rows)."""

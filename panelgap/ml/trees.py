@@ -9,6 +9,7 @@ accuracy is the mean of the per-fold accuracies over the deterministic folds.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -53,15 +54,25 @@ def compare_models(ml: DataFrame, codes: Sequence[str], models=("knn", "random_f
     is_best) -- best = highest CV accuracy, ties by model name."""
     spark = ml.sparkSession
     bins = _max_bins(ml, codes)
+    def test_fit(name):
+        _, pred = fit_predict(name, ml.where(~F.col("is_test")), ml.where(F.col("is_test")), codes, bins)
+        acc = accuracy(pred).collect()[0][0]
+        return acc, {r.class_label: r for r in report(confusion(pred)).collect()}   # <= 5 rows
+
+    def fold_fit(name, f):
+        _, p = fit_predict(name, ml.where(F.col("fold") != f), ml.where(F.col("fold") == f), codes, bins)
+        return accuracy(p).collect()[0][0]
+
+    # every fit is independent: submit them as concurrent Spark jobs
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        tests = {n: pool.submit(test_fit, n) for n in models}
+        folds_f = {(n, f): pool.submit(fold_fit, n, f) for n in models for f in range(n_folds)}
+        results = {n: t.result() for n, t in tests.items()}
+        fold_acc = {key: fu.result() for key, fu in folds_f.items()}
     rows = []
     for name in models:
-        _, pred = fit_predict(name, ml.where(~F.col("is_test")), ml.where(F.col("is_test")), codes, bins)
-        acc_test = accuracy(pred).collect()[0][0]
-        rep = {r.class_label: r for r in report(confusion(pred)).collect()}   # <= 5 rows
-        folds = []
-        for f in range(n_folds):
-            _, p = fit_predict(name, ml.where(F.col("fold") != f), ml.where(F.col("fold") == f), codes, bins)
-            folds.append(accuracy(p).collect()[0][0])
+        acc_test, rep = results[name]
+        folds = [fold_acc[(name, f)] for f in range(n_folds)]
         pos = rep.get("1")
         rows.append((name, float(acc_test), float(sum(folds) / len(folds)),
                      float(pos.precision) if pos else 0.0, float(pos.recall) if pos else 0.0,

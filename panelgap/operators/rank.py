@@ -61,10 +61,12 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str], out: str = "
 
 def rank_by(df: DataFrame, value: str, descending: bool = True,
             tiebreak: Sequence[str] = (), method: str = "rank", out: str = "rank",
-            partition_by: str | None = None) -> DataFrame:
+            partition_by: str | None = None, row_number_out: str | None = None) -> DataFrame:
     """RANK / ROW_NUMBER by ``value`` (NULLS LAST when descending, FIRST when
     ascending, as in Spark and SQLite), optionally within ``partition_by``
-    groups.  ``method='row_number'`` orders ties by ``tiebreak``."""
+    groups.  ``method='row_number'`` orders ties by ``tiebreak``.  With
+    ``method='rank'`` and ``row_number_out``, the ROW_NUMBER of the same sort
+    is kept as well, so both come out of one global sort."""
     v = F.col(value)
     key = v.desc_nulls_last() if descending else v.asc_nulls_first()
     order = ([F.col(partition_by).asc_nulls_first()] if partition_by else []) + [key] + \
@@ -87,7 +89,10 @@ def rank_by(df: DataFrame, value: str, descending: bool = True,
     res = rn.join(ties, cond).drop(ties[value])
     for g in group_keys:
         res = res.drop(ties[g])
-    return res.withColumn(out, F.col("_r").cast("long")).drop("_rn", "_r")
+    res = res.withColumn(out, F.col("_r").cast("long"))
+    if row_number_out:
+        res = res.withColumnRenamed("_rn", row_number_out)
+    return res.drop("_rn", "_r")
 
 
 def rank_where(df: DataFrame, cond: Column, value: str, out: str, descending: bool = True,

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..ml.cluster import kmeans_restarts, relabel_by_mean, silhouette_sq, standardize
+from ..ml.cluster import kmeans_grid, kmeans_restarts, relabel_by_mean, silhouette_sq, standardize
 from ..ml.evaluate import accuracy_by_group as acc_by_group
 from ..ml.evaluate import confusion, majority_baseline as majority, report
 from ..ml.knn import knn_predict as knn
@@ -203,11 +203,9 @@ def elbow(spark: SparkSession, sf_dir: str, ks=range(2, 7)) -> DataFrame:
     """M4/M5: best cost over restarts and silhouette for each k (k < n)."""
     pts = _points(spark, sf_dir).persist()
     n = pts.count()
+    best, vec = kmeans_grid(pts, ["gap_total_z", "pct_sev_z"], [k for k in ks if k < n])
     rows = []
-    for k in ks:
-        if k >= n:
-            break
-        m, cost, vec = kmeans_restarts(pts, ["gap_total_z", "pct_sev_z"], k)
+    for k, (m, cost) in sorted(best.items()):
         sil = silhouette_sq(m.transform(vec), ["gap_total_z", "pct_sev_z"], "cluster_raw").collect()[0][0]
         rows.append((k, float(cost), float(sil)))
     return spark.createDataFrame(rows, "k int, cost double, silhouette double")

@@ -20,8 +20,8 @@ def rank_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = model.cells(spark, sf_dir, entity="customer")
     piv = cell_pivot(cells, {"a": "L_NONE", "b": "L_SEV"}, reliable=None, require=("a", "b"))
     g = piv.select("entity", (F.col("a") - F.col("b")).alias("gap"))
-    r = rank_by(g, "gap", out="rank_gap")
-    return rank_by(r, "gap", tiebreak=["entity"], method="row_number", out="ordinal")
+    # one global sort by (gap desc, entity) yields both the ordinal and RANK
+    return rank_by(g, "gap", tiebreak=["entity"], out="rank_gap", row_number_out="ordinal")
 
 
 query("rank_distributed", O.with_cells("""
