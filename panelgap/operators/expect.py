@@ -80,13 +80,19 @@ def raise_on_fail(checks: DataFrame) -> None:
 
 def fk_violations(pairs: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
     """One row per foreign key (name, violations) = child rows whose key
-    has no parent.  Only key columns are read; the anti join shuffles keys,
-    or broadcasts the parent when the optimizer finds it small."""
+    has no parent.  Only key columns are read.  Child keys are counted first
+    (partial aggregation map-side: a key holding a third of the rows becomes
+    one row per task), and the unmatched keys are found on distinct keys,
+    reusing the aggregate's hash partitioning on the key."""
     out = None
     for name, child, ck, parent, pk in pairs:
-        c = child.select(F.col(ck).alias("_k")).where(F.col("_k").isNotNull())
-        p = parent.select(F.col(pk).alias("_k"))
-        one = c.join(p, "_k", "left_anti").agg(F.count(F.lit(1)).cast("long").alias("violations")) \
-               .select(F.lit(name).alias("fk"), "violations")
+        c = (child.select(F.col(ck).alias("_k")).where(F.col("_k").isNotNull())
+             .groupBy("_k").agg(F.count(F.lit(1)).alias("_n")))
+        p = parent.select(F.col(pk).alias("_k"), F.lit(True).alias("_hit"))
+        # left join + IS NULL rather than left_anti: Catalyst would push an
+        # anti join below the aggregation and shuffle raw child rows again
+        one = (c.join(p, "_k", "left").where(F.col("_hit").isNull())
+               .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("violations"))
+               .select(F.lit(name).alias("fk"), "violations"))
         out = one if out is None else out.unionByName(one)
     return out
