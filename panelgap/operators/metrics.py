@@ -46,6 +46,18 @@ def cell_pivot(fact: DataFrame, cells: Mapping[str, str], keys: Sequence[str] =
     return out
 
 
+def require_reliable(piv: DataFrame, mode: str, left: str, right: str) -> DataFrame:
+    """Which cells of a pair must be reliable: ``none``, ``right`` (the
+    second cell, e.g. the severe level of a gap) or ``both``."""
+    if mode == "none":
+        return piv
+    if mode == "right":
+        return piv.where(F.col(f"{right}_rel"))
+    if mode == "both":
+        return piv.where(F.col(f"{left}_rel") & F.col(f"{right}_rel"))
+    raise ValueError(f"require_reliable must be none, right or both, not {mode!r}")
+
+
 def mart_cells(spec: PanelSpec = DEFAULT_SPEC) -> dict[str, str]:
     c = spec.code
     return {

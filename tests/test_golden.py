@@ -96,3 +96,17 @@ def test_cluster_partition_on_published_points(spark):
     lab = {r.entity: r.cluster for r in relabel_by_mean(m.transform(vec), "gap_total").collect()}
     assert lab["LT"] == 2 and lab["SE"] == lab["NL"] == 0
     assert {lab[e] for e in ("IT", "ES", "DE", "FR", "PT")} == {1}
+
+
+def test_require_reliable_modes(spark):
+    from panelgap.operators.metrics import cell_pivot, require_reliable
+    fact = published_fact(spark, extra=[("XX", False, "L_NONE", "L_NONE", "Total", "Total", 90.0, False),
+                                        ("XX", False, "L_SEV", "L_SEV", "Total", "Total", 80.0, True),
+                                        ("YY", False, "L_NONE", "L_NONE", "Total", "Total", 90.0, True),
+                                        ("YY", False, "L_SEV", "L_SEV", "Total", "Total", 70.0, False)])
+    piv = cell_pivot(fact, {"a": "L_NONE", "b": "L_SEV"}, require=("a", "b"))
+    ents = {m: {r.entity for r in require_reliable(piv, m, "a", "b").collect()} & {"XX", "YY"}
+            for m in ("none", "right", "both")}
+    assert ents == {"none": {"XX", "YY"}, "right": {"XX"}, "both": set()}
+    with pytest.raises(ValueError):
+        require_reliable(piv, "left", "a", "b")
