@@ -143,3 +143,21 @@ def test_silhouette_matches_mllib(spark):
     vec = VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(df)
     ref = ClusteringEvaluator(predictionCol="c", distanceMeasure="squaredEuclidean").evaluate(vec)
     assert mine == pytest.approx(ref, abs=1e-9)
+
+
+def test_hot_entity_third_of_rows(spark):
+    """One entity holding a third of the microdata: the cube stays exact
+    (partial aggregation absorbs the hot key before any shuffle)."""
+    micro = _micro(spark)
+    hot = micro.withColumn("entity", F.when(F.abs(F.xxhash64("rf", "ls", "os", "hit", "entity")) % 3 == 0,
+                                            F.lit("HOT")).otherwise(F.col("entity")))
+    cells = build_panel(hot)
+    total = micro.count()
+    assert cells.where((F.col("entity") == "ALL") & (F.col("category_code") == "L_NONE")).select("n") \
+        .collect()[0][0] + cells.where((F.col("entity") == "ALL") & (F.col("category_code") == "L_LTD_SEV")) \
+        .select("n").collect()[0][0] == total
+    hot_n = cells.where((F.col("entity") == "HOT") & F.col("category_code").isin("L_NONE", "L_LTD_SEV")) \
+        .agg(F.sum("n")).collect()[0][0]
+    assert 0.25 * total < hot_n < 0.42 * total
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan
