@@ -33,7 +33,12 @@ def assign_fixture_flags(cells: DataFrame, entity: str = "entity", category: str
     base = cells.where(~F.col("is_aggregate"))
     nulls = (base.where(F.col(category) == F.lit(null_category))
              .orderBy(*order).limit(n_null).select(*keys).withColumn("_null", F.lit(True)))
-    flagged = (base.join(F.broadcast(nulls), keys, "left_anti")
+    # the n_flagged smallest cells outside ``nulls`` are always among the
+    # (n_null + n_flagged) smallest cells overall, so this top-k does not wait
+    # for ``nulls``: both selections scan the cube concurrently, and the
+    # exclusion runs on at most n_null + n_flagged rows
+    first = base.orderBy(*order).limit(n_null + n_flagged)
+    flagged = (first.join(F.broadcast(nulls), keys, "left_anti")
                .orderBy(*order).limit(n_flagged).select(*keys).withColumn("_flag", F.lit(True)))
     out = (cells.join(F.broadcast(nulls), keys, "left")
            .join(F.broadcast(flagged), keys, "left"))
