@@ -1,7 +1,6 @@
 """Cleaning pipeline on a dirty raw fixture (FIXTURES B3 raw form + C3)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from panelgap.operators import clean as C
 from panelgap.operators.expect import check_panel, raise_on_fail
