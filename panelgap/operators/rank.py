@@ -69,8 +69,13 @@ def rank_by(df: DataFrame, value: str, descending: bool = True,
     is kept as well, so both come out of one global sort."""
     v = F.col(value)
     key = v.desc_nulls_last() if descending else v.asc_nulls_first()
+    # last sort key: a deterministic hash of the whole row.  RANK does not
+    # depend on the order inside a tie group, but the range partitioner can
+    # only split a hot value across tasks if its rows have distinct keys; it
+    # also makes ROW_NUMBER without a tie-break reproducible.
+    salt = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     order = ([F.col(partition_by).asc_nulls_first()] if partition_by else []) + [key] + \
-            [F.col(t).asc_nulls_first() for t in tiebreak]
+            [F.col(t).asc_nulls_first() for t in tiebreak] + [salt.asc()]
     rn = global_row_number(df, order, "_rn")
     group_keys = [partition_by] if partition_by else []
     if partition_by:

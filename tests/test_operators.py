@@ -161,3 +161,16 @@ def test_hot_entity_third_of_rows(spark):
     assert 0.25 * total < hot_n < 0.42 * total
     plan = cells._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
+
+
+def test_hot_value_spreads_over_range_partitions(spark):
+    """A value held by a third of the rows: with the row-hash salt as last
+    sort key the range partitioner splits it over several tasks, and RANK is
+    still the same for the whole tie group."""
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise(F.col("id").cast("double")).alias("v"), "id")
+    salted = df.orderBy(F.col("v").desc(), F.xxhash64("v", "id").asc()).withColumn("p", F.spark_partition_id())
+    assert salted.where("v = 5.0").select("p").distinct().count() > 1
+    ranks = rank_by(df, "v", out="r").where("v = 5.0").select("r").distinct().collect()
+    exp = df.where("v > 5.0").count() + 1
+    assert [r.r for r in ranks] == [exp]
