@@ -17,8 +17,11 @@ from .rank import global_row_number
 
 def exact_quantile(df: DataFrame, value: str, q: float, out: str = "q") -> DataFrame:
     """One-row DataFrame with the exact ``q`` quantile of non-null ``value``."""
-    v = df.where(F.col(value).isNotNull()).select(value)
-    rn = global_row_number(v, [F.col(value).asc()], "_rn")
+    v = df.where(F.col(value).isNotNull()).select(value, F.monotonically_increasing_id().alias("_salt"))
+    # ``_salt`` lets the range partitioner split a value held by many rows;
+    # the quantile depends only on the multiset of values, so which tied row
+    # takes which position is irrelevant (the checkpoint fixes one order)
+    rn = global_row_number(v, [F.col(value).asc(), F.col("_salt").asc()], "_rn")
     n = rn.agg(F.count(F.lit(1)).alias("n")).scalar()
     pos = (n - F.lit(1)) * F.lit(float(q))          # 0-based fractional position
     lo = F.floor(pos) + F.lit(1)
