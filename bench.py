@@ -7,6 +7,9 @@ Prints ONE JSON line:
   join, grouping-sets cube) timed cold, without any cache.
 * ``fact_build`` materialises the flagged fact with its derived columns (what
   the reference's loader does once) and persists it.
+* ``panel_build_bucketed`` is the same cube from line items and orders
+  co-bucketed by order key (layout written once, untimed); it is reported but
+  not added to the total, being an alternative to ``panel_build``.
 * every other query then runs against that fact, as the reference's SQL runs
   against its loaded database.  Each is timed best-of-``BENCH_REPEATS``.
 """
@@ -59,6 +62,15 @@ def main() -> None:
 
     run("panel_build", lambda: qs["panel_build"](spark, sf_dir).collect())
 
+    # the at-scale layout: line items and orders co-bucketed by order key
+    # (written once, untimed), then the cube without the line-item shuffle
+    from panelgap.operators.panel import expand_cube
+    from panelgap.session import ensure_checkpoint_dir
+    from panelgap.sources.layout import panel_groups_bucketed, write_bucketed_sources
+    tables = write_bucketed_sources(spark, sf_dir, os.path.join(ensure_checkpoint_dir(spark), "bench-layout"),
+                                    n_buckets=int(cpus))
+    run("panel_build_bucketed", lambda: expand_cube(panel_groups_bucketed(spark, sf_dir, tables)).collect())
+
     t = time.perf_counter()
     model.fact(spark, sf_dir).count()
     times["fact_build"] = round(time.perf_counter() - t, 4)
@@ -67,7 +79,9 @@ def main() -> None:
         run(name, lambda n=name: qs[n](spark, sf_dir).collect())
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "total_sec", "value": round(sum(times.values()), 4), "unit": "sec",
+    # the bucketed build is an alternative to panel_build, not extra work
+    total = sum(v for k, v in times.items() if k != "panel_build_bucketed")
+    print(json.dumps({"metric": "total_sec", "value": round(total, 4), "unit": "sec",
                       "queries": times, "sf": float(m.group(1)) if m else sf_dir}))
     spark.stop()
 

@@ -130,3 +130,13 @@ def test_range_report_and_profile(spark):
     assert p.n_unparsed == 1 and p.entities == ["N1", "N2"]
     h = {r.flag: r.n for r in hist.collect()}
     assert h == {"u": 1, None: 2}
+
+
+def test_typed_csv_reader(spark, tmp_path):
+    """Explicit schema (no inference); a malformed number becomes NULL."""
+    from panelgap.sources.csv import read_typed_csv
+    p = tmp_path / "typed.csv"
+    p.write_text("entity,gap_total,pct_sev\nN1,1.5,60.25\nN2,:,59.0\n")
+    df = read_typed_csv(spark, str(p), "entity string, gap_total double, pct_sev double")
+    rows = {r.entity: r for r in df.collect()}
+    assert rows["N1"].gap_total == 1.5 and rows["N2"].gap_total is None and rows["N2"].pct_sev == 59.0
