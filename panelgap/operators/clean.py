@@ -55,9 +55,10 @@ def select_rename(df: DataFrame, mapping: Mapping[str, str] = RAW_RENAME) -> Dat
 
 
 def filter_entities(df: DataFrame, entity_dim: DataFrame, entity: str = "entity") -> DataFrame:
-    """Keep target entities and attach their name in one broadcast inner
-    join (the entity dimension is bounded)."""
-    return df.join(F.broadcast(entity_dim.select(entity, "entity_name")), entity)
+    """Keep target entities and attach their name in one inner join.  The
+    caller decides on broadcasting (``F.broadcast(dim)`` when the dimension is
+    known to be small); otherwise the optimizer and AQE choose."""
+    return df.join(entity_dim.select(entity, "entity_name"), entity)
 
 
 def filter_categories(df: DataFrame, codes: Sequence[str], category: str = "category_code") -> DataFrame:
@@ -132,13 +133,20 @@ def clean_panel(raw: DataFrame, entity_dim: DataFrame, codes: Sequence[str],
 def profile_raw(raw: DataFrame, value: str = "OBS_VALUE", flag: str = "OBS_FLAG",
                 entity: str = "geo") -> tuple[DataFrame, DataFrame]:
     """(one-row profile: values that do not parse, distinct entities
-    sorted), (flag histogram with NULL as its own group)."""
+    sorted), (flag histogram with NULL as its own group).  The entity list is
+    one array, so use it on a bounded entity axis (nations); for an unbounded
+    one use ``distinct_sorted``, which stays distributed."""
     prof = raw.agg(F.count_if(F.col(value).try_cast("double").isNull()).alias("n_unparsed"),
                    F.array_sort(F.collect_set(entity)).alias("entities"))
     hist = raw.groupBy(F.col(flag).alias("flag")).agg(F.count(F.lit(1)).alias("n"))
     return prof, hist
 
 
+def distinct_sorted(df: DataFrame, col: str) -> DataFrame:
+    """A10 at any cardinality: the distinct values as a range-sorted DataFrame."""
+    return df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col)
+
+
 def range_report(df: DataFrame, value: str = "pct", low: float = 0.0, high: float = 100.0) -> DataFrame:
     """Count of present values outside [low, high], plus min and max."""
     v = F.col(value)
@@ -151,7 +159,9 @@ def raw_from_fact(fact: DataFrame, entity_dim: DataFrame, dim_level: DataFrame,
     """The panel written back in the raw long layout (all strings): what an
     export of the fact looks like before cleaning.  Flags alternate between
     'u' and ' u ' (padded on total-sex cells) to exercise the strip rule."""
-    f = (fact.join(F.broadcast(entity_dim.select("entity", "entity_name")), "entity")
+    # level/sex/age are the cube's axes (a handful of codes each); the entity
+    # dimension is broadcast only if the caller hinted it
+    f = (fact.join(entity_dim.select("entity", "entity_name"), "entity")
          .join(F.broadcast(dim_level.select("level", "level_label")), "level")
          .join(F.broadcast(dim_sex.select("ls", "ls_label")), "ls")
          .join(F.broadcast(dim_age.select("os", "os_label")), "os"))

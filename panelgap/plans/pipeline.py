@@ -22,12 +22,13 @@ YEAR = "1998"
 
 
 def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_from_fact(model.fact(spark, sf_dir), model.entities(spark, sf_dir), model.dim_level(spark),
+    # the entity dimension comes from nation (25 rows by construction)
+    return raw_from_fact(model.fact(spark, sf_dir), F.broadcast(model.entities(spark, sf_dir)), model.dim_level(spark),
                          model.dim_sex(spark), model.dim_age(spark), YEAR)
 
 
 def clean_panel_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_panel(raw_panel(spark, sf_dir), model.entities(spark, sf_dir), CODES)
+    return clean_panel(raw_panel(spark, sf_dir), F.broadcast(model.entities(spark, sf_dir)), CODES)
 
 
 _CLEAN_SQL = f"""

@@ -140,3 +140,8 @@ def test_typed_csv_reader(spark, tmp_path):
     df = read_typed_csv(spark, str(p), "entity string, gap_total double, pct_sev double")
     rows = {r.entity: r for r in df.collect()}
     assert rows["N1"].gap_total == 1.5 and rows["N2"].gap_total is None and rows["N2"].pct_sev == 59.0
+
+
+def test_distinct_sorted(spark):
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "g string")
+    assert [r.g for r in C.distinct_sorted(df, "g").collect()] == ["a", "b"]
