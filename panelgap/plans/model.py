@@ -117,6 +117,10 @@ def ml_frame(spark: SparkSession, sf_dir: str, cache: bool = True) -> DataFrame:
         return _CACHE[key]
     df = build(fact(spark, sf_dir, cache=cache))
     if cache:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        # checkpoint, not persist: the MLlib fits that read this frame run many
+        # jobs each, and every job would re-plan the encoding joins and the
+        # quantile subquery of its lineage
+        ensure_checkpoint_dir(spark)
+        df = df.checkpoint(eager=True)
         _CACHE[key] = df
     return df
