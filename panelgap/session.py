@@ -21,6 +21,9 @@ _LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of unreferenced DataFrames (rank sorts, cubes) are
+    # removed by the context cleaner instead of accumulating
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
