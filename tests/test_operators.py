@@ -182,3 +182,23 @@ def test_hot_value_spreads_over_range_partitions(spark):
     ranks = rank_by(df, "v", out="r").where("v = 5.0").select("r").distinct().collect()
     exp = df.where("v > 5.0").count() + 1
     assert [r.r for r in ranks] == [exp]
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 5), st.sampled_from(["A", "B", "C"]),
+                          st.one_of(st.none(), st.floats(0, 100, allow_nan=False)), st.booleans()),
+                min_size=0, max_size=30, unique_by=lambda t: (t[0], t[1])))
+def test_cell_pivot_equals_inner_self_join(spark, rows):
+    """J4 rewrite: one conditional aggregation == the reference's inner
+    self-join per cell, including present-but-NULL and absent cells."""
+    from panelgap.operators.metrics import cell_pivot
+    fact = spark.createDataFrame([(f"e{e}", c, v, r) for e, c, v, r in rows],
+                                 "entity string, category_code string, pct double, is_reliable boolean")
+    piv = {r.entity: (r.a, r.b, r.a_rel, r.b_rel) for r in
+           cell_pivot(fact, {"a": "A", "b": "B"}, require=("a", "b")).collect()}
+    fa = fact.where("category_code = 'A'").alias("fa")
+    fb = fact.where("category_code = 'B'").alias("fb")
+    joined = {r[0]: (r[1], r[2], r[3], r[4]) for r in
+              fa.join(fb, F.col("fa.entity") == F.col("fb.entity"))
+                .select("fa.entity", "fa.pct", "fb.pct", "fa.is_reliable", "fb.is_reliable").collect()}
+    assert piv == joined
