@@ -4,10 +4,11 @@
 PARTITION BY make Spark move every row into one task.  Here a global ordinal is
 computed in three distributed steps:
 
-1. ``orderBy`` range-partitions on the *full* sort key (sampled bounds split a
-   hot value across partitions by the tie-break columns) and sorts each
-   partition; the result is checkpointed to the session's checkpoint folder so
-   that the positions below are stable even if an executor is lost;
+1. ``orderBy`` range-partitions on the *full* sort key -- value, tie-break
+   columns, then a hash of the row -- so sampled bounds split even a value held
+   by a third of the rows across tasks, and sorts each partition; the result is
+   checkpointed to the session's checkpoint folder so that the positions below
+   are stable even if an executor is lost;
 2. ``monotonically_increasing_id`` gives (partition index, position) and one
    aggregation counts rows per partition -> O(#partitions) rows;
 3. a prefix sum over those counts is broadcast back (its size is bounded by the
