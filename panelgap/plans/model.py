@@ -114,7 +114,7 @@ def clear_cache() -> None:
 
 
 def ml_frame(spark: SparkSession, sf_dir: str, cache: bool = True) -> DataFrame:
-    """Labelled, encoded, fold-assigned ML sample (persisted per session)."""
+    """Labelled, encoded, fold-assigned ML sample (checkpointed once per session)."""
     from ..ml.sample import ml_frame as build
     key = _key(spark, sf_dir, "ml")
     if cache and key in _CACHE:
