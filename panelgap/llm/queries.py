@@ -8,10 +8,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
+from . import pii
 from .decontaminate import overlaps
+from .language_id import identify
 from .language_model import score_texts
+from .mixing import mix
+from .quality import quality_report
+from .sharding import shard
 from .simhash import simhash_components
 from .substring_dedup import remove_repeats
+from .urls import UrlRule, filter_urls
+
+SHARDS = 8
+URL_RULES = [UrlRule("com", "/", "allow"), UrlRule("example.com", "/en/", "block"),
+             UrlRule("www.example.com", "/en/", "allow"), UrlRule("net", "/es/", "block"),
+             UrlRule("net", "/fr/", "block")]
 
 
 def id_crc_is(doc_id: str, modulus: int, rest: int) -> Column:
@@ -19,15 +30,56 @@ def id_crc_is(doc_id: str, modulus: int, rest: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % modulus == rest, F.lit(False))
 
 
+def _starts_with(prefix: str) -> Callable[[Column], Column]:
+    return lambda s: s.startswith(prefix)
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Under the law of rows: the load bound has no slack, so counts are at most one apart."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    return shard(docs, SHARDS).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    found = pii.find_personal_data(docs, pii.fit(docs))
+    return found.select(
+        "doc_id", *[F.size(F.filter("strict", _starts_with(f"{k}:"))).cast("long").alias(f"n_{k}")
+                    for k in pii.KINDS],
+        F.sha2(F.array_join("strict", ","), 256).alias("base_sha256"), F.array_join("spans", ",").alias("spans"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlaps(read_table(spark, sf_dir, "documents", "doc_id", "text"),
                     read_table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read_table(spark, sf_dir, "documents", "doc_id", "text", "source")).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return identify(docs, id_crc_is("doc_id", 3, 1))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(read_table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
 def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text").withColumn("held_out", id_crc_is("doc_id", 5, 1))
     return score_texts(docs, ~F.col("held_out"), carry=["held_out"])
@@ -38,9 +90,40 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumnRenamed("kept", "kept_sha256"))
 
 
+#: Quality rules in DuckDB SQL: the measures of the contract and the rules of the cascade.
+QUALITY_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+grams AS (SELECT rid, i, list_aggregate(list_slice(ws, i, i + 7), 'string_agg', ' ') AS g
+          FROM w, unnest(range(1, len(ws) - 6)) AS u(i)),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM grams) WHERE c > 1),
+cover AS (SELECT rid, sum(least(8, coalesce(nxt - i, 8))) AS n
+          FROM (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS nxt FROM twice) GROUP BY rid),
+m AS (SELECT doc_id, t, ws, ls, len(ws)::BIGINT AS n_words,
+             length(array_to_string(ws, ''))::BIGINT AS word_chars,
+             (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+             (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+             coalesce(cover.n, 0)::BIGINT AS n_repeat_words
+      FROM w LEFT JOIN cover USING (rid)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+             len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS stutters FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed
+       AND NOT (n_symbols > 0.2 * n_words)
+       AND NOT (n_dup_lines >= 5 AND n_dup_lines > 0.5 * len(ls))
+       AND word_chars / greatest(n_words, 1) BETWEEN 2 AND 16
+       AND NOT (t = upper(t) AND t <> lower(t))
+       AND NOT (stutters > 0.5 * n_words)
+       AND NOT (length(t) - length(replace(t, '!', '')) > 0.5 * n_words) AS kept
+FROM b"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_decontaminate, op7_simhash, op9_language_model, op10_substring_dedup)}
+    return {f.__name__: f for f in (op1_quality, op2_sharding, op3_pii, op4_decontaminate, op5_mixing,
+                                    op6_language_id, op7_simhash, op8_urls, op9_language_model, op10_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Only what SQL can say: the others rest on hash functions, fitted models or iteration."""
+    return {"op1_quality": QUALITY_SQL}

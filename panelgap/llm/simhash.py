@@ -15,9 +15,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .components import connected_components
 
 SEGMENTS, WIDTH = 4, 16
@@ -95,6 +96,16 @@ def links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
 
 
+def _classes(fps: DataFrame, best: Column, max_bits: int) -> DataFrame:
+    """``fps(fp, ...)`` -> ``(fp, best)``: for every distinct fingerprint the least ``best`` in its component."""
+    nodes = fps.groupBy("fp").agg(F.min(best).alias("low"))
+    roots = connected_components(links(nodes.select("fp"), max_bits))
+    joined = nodes.join(roots, nodes.fp == roots.node, "left").select(
+        "fp", "low", F.coalesce("root", "fp").alias("root"))
+    low = joined.groupBy("root").agg(F.min("low").alias("best"))
+    return joined.join(low, "root").select("fp", "best").checkpoint()
+
+
 def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                        shingle_words: int = 3, max_bits: int = 3) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest
@@ -102,15 +113,24 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
     Null and wordless texts have fingerprint zero and link like any other.  A null
     id never is a component id unless its whole component has none.  Repeated rows
-    stay; other columns are ignored.
+    stay; other columns are ignored; an empty table gives no rows.
     """
+    ensure_checkpoint_dir(docs.sparkSession)
     fps = with_fingerprints(docs, text, [doc_id], shingle_words).withColumnRenamed(doc_id, "id_").checkpoint()
-    nodes = fps.groupBy("fp").agg(F.min("id_").alias("low"))
-    roots = connected_components(links(nodes.select("fp"), max_bits))
-    joined = nodes.join(roots, nodes.fp == roots.node, "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root"))
-    low = joined.groupBy("root").agg(F.min("low").alias("component_id"))
-    classes = joined.join(low, "root").select("fp", "component_id").checkpoint()
-    return fps.join(classes, "fp").select(F.col("id_").alias(doc_id),
-                                          F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                                          "component_id")
+    return fps.join(_classes(fps, F.col("id_"), max_bits), "fp").select(
+        F.col("id_").alias(doc_id), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("best").alias("component_id"))
+
+
+def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                         shingle_words: int = 3, max_bits: int = 3) -> DataFrame:
+    """The row of ``docs`` with the smallest id of each component (of equal ids, one row;
+    null ids come last); columns as given.  ``docs`` is a stored table: rows are told
+    apart by their place in it."""
+    ensure_checkpoint_dir(docs.sparkSession)
+    row = "_simhash_row"
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    fps = with_fingerprints(numbered, text, [doc_id, row], shingle_words).checkpoint()
+    best = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col(row).alias("row"))
+    kept = _classes(fps, best, max_bits).select(F.col("best.row").alias(row)).distinct()
+    return numbered.join(kept, row, "left_semi").drop(row)
