@@ -18,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Documents to a chunk by text size in bytes: a chunk holds 64 MB of text at most, or one document.
+#: Documents to a chunk by text size in bytes: a chunk holds 128 MB of text at most, or one document.
 SMALL, LARGE = 1 << 16, 1 << 20
-ROWS = (1024, 64, 1)
+ROWS = (2048, 64, 1)
 BUCKETS_PER_PARTITION = 4
 
 

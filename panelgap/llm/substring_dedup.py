@@ -8,11 +8,11 @@ are indexed, and every rolling block of every document probes the index:
    anchor, to the buckets of the index; a bucket answers with those that are an
    anchor somewhere and occur in more than one document.
 2. *Extend.*  Around the hits, each document's windows are the pieces of maximal
-   repeats; chunks send their 96-bit hashes with the smallest document id, and a
+   repeats; chunks send their 80-bit hashes with the smallest document id, and a
    bucket answers with those that some smaller document holds.
 3. *Remove.*  The words under such windows go.
 
-Documents without a hit leave after step 1.  A text moves twice at most.
+The texts are dealt by chunk once; steps 2 and 3 read the same exchange.
 """
 
 from __future__ import annotations
@@ -25,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
 from . import chunks as C
 from .words import ngrams, word_hashes
 
 LAST = np.iinfo(np.int64).max
-#: Bits of a block hash that travel beside the bucket: enough that a false hit is one in a million, and hits are verified.
-REST = 38
+#: Bits of a block hash that travel beside the bucket.  A false hit (one anchor in some
+#: ten thousand) only makes a document send windows that nobody else has.
+REST = 34
 
 
 def _rest(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -96,10 +96,10 @@ def _known(rows: pa.Table, starts: np.ndarray) -> np.ndarray:
 
 
 def _windows(h, docs, window):
-    """64-bit and 32-bit hash of each window, and whether it lies in one document."""
+    """64-bit and 16-bit hash of each window, and whether it lies in one document."""
     a, whole = ngrams(h, docs, window, 5)
     b, _ = ngrams(h, docs, window, 7)
-    return a, (b >> np.uint64(32)).astype(np.uint32), whole
+    return a, (b >> np.uint64(48)).astype(np.uint16), whole
 
 
 def _candidates(h, docs, known, block, window, starts):
@@ -114,11 +114,34 @@ def _candidates(h, docs, known, block, window, starts):
     return (hit[window - block + 1:][:size] - hit[:size]) > 0
 
 
-def _digest(text: str, emit: str) -> str:
-    return text if emit == "text" else hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+def _beaten(rows: pa.Table, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A chunk's windows that a smaller document of another chunk holds, by ascending key."""
+    got = [(C.unpack(x) + starts[b], np.frombuffer(y, np.uint16)) for b, x, y in zip(
+        *(rows.column(c).to_pylist() for c in ("bucket", "keys", "checks")), strict=True)]
+    if not got:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint16)
+    x, y = (np.concatenate([g[i] for g in got]) for i in (0, 1))
+    order = np.lexsort((y, x))
+    return x[order], y[order]
 
 
-_DONE = "rid long, doc long, n_words long, n_removed long, kept string"
+def _pairs_in(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which pairs (a, b) are among the pairs (x, y); each side holds a pair once."""
+    both = np.lexsort((np.append(np.zeros(len(a), np.int8), np.ones(len(x), np.int8)), np.append(b, y), np.append(a, x)))
+    left, right = np.append(a, x)[both], np.append(b, y)[both]
+    same = np.zeros(len(both), bool)
+    same[:-1] = (left[1:] == left[:-1]) & (right[1:] == right[:-1])
+    out = np.zeros(len(a), bool)
+    mine = both < len(a)
+    out[both[mine]] = same[mine]
+    return out
+
+
+def _digest(text: bytes, emit: str) -> str:
+    return text.decode("utf-8", "surrogatepass") if emit == "text" else hashlib.sha256(text).hexdigest()
+
+
+_DONE = "doc long, n_words long, n_removed long, kept string"
 
 
 def _doc_ids(table: pa.Table) -> np.ndarray:
@@ -137,7 +160,6 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     the window stay whole.  Rows with equal ids never remove each other's words; a
     null id is larger than any other.  Other columns are ignored.
     """
-    ensure_checkpoint_dir(docs.sparkSession)
     block = (window + 1) // 2
     starts = C.bucket_starts(C.bucket_count(docs))
     src = C.with_chunks(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc"),
@@ -149,29 +171,22 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 yield from C.table(out, "bucket int, chunk long, blob binary").to_batches()
 
     def extend(left: pa.Table, right: pa.Table) -> pa.Table:
-        schema = _DONE + ", body string, chunk long, bucket int, keys binary, checks binary, ids binary"
-        if not left.num_rows:
+        schema = "bucket int, chunk long, keys binary, checks binary, ids binary"
+        if not (left.num_rows and right.num_rows):
             return C.table([], schema)
-        texts, ids, rid = left.column("body").to_pylist(), _doc_ids(left), left.column("rid").to_pylist()
-        given, k = left.column("doc").to_pylist(), left.column("chunk")[0].as_py()
-        h, docs = word_hashes(texts)
+        ids, k = _doc_ids(left), left.column("chunk")[0].as_py()
+        h, docs = word_hashes(left.column("body").to_pylist())
         cand = _candidates(h, docs, _known(right, starts), block, window, starts)
         a, b, whole = _windows(h, docs, window)
         at = np.flatnonzero(cand & whole)
-        touched = set(np.unique(docs[at]).tolist())
-        n = np.bincount(docs, minlength=len(texts)).tolist()
-        rows = [(rid[i], given[i], n[i], None, None, texts[i], k) + (None,) * 4 if i in touched else
-                (rid[i], given[i], n[i], 0, _digest(_joined(texts[i]), emit)) + (None,) * 6
-                for i in range(len(texts))]
         order = at[np.lexsort((ids[docs[at]], b[at], a[at]))]
         keep = order[C.firsts(a[order]) | C.firsts(b[order])]
-        for bucket, s in C.split(a[keep], starts):
-            own = keep[s]
-            rows.append((None,) * 6 + (k, bucket, C.pack(a[own]), b[own].tobytes(), ids[docs[own]].tobytes()))
-        return C.table(rows, schema)
+        return C.table([(bucket, k, C.pack(a[keep[s]] - starts[bucket]), b[keep[s]].tobytes(),
+                         C.pack_counts(ids[docs[keep[s]]])) for bucket, s in C.split(a[keep], starts)], schema)
 
     def decide(rows: pa.Table) -> pa.Table:
-        got = [(k, C.unpack(x), np.frombuffer(y, np.uint32), np.frombuffer(z, np.int64)) for k, x, y, z in zip(
+        bucket = rows.column("bucket")[0].as_py()
+        got = [(k, C.unpack(x), np.frombuffer(y, np.uint16), C.unpack_counts(z).astype(np.int64)) for k, x, y, z in zip(
             *(rows.column(c).to_pylist() for c in ("chunk", "keys", "checks", "ids")), strict=True)]
         a, b, d = (np.concatenate([g[i] for g in got]) for i in (1, 2, 3))
         order = np.lexsort((b, a))
@@ -183,59 +198,47 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             own = beaten[lo:lo + len(x)]
             lo += len(x)
             if own.any():
-                out.append((k, C.pack(x[own]), y[own].tobytes()))
-        return C.table(out, "chunk long, keys binary, checks binary")
+                out.append((bucket, k, C.pack(x[own]), y[own].tobytes()))
+        return C.table(out, "bucket int, chunk long, keys binary, checks binary")
 
     def remove(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return C.table([], _DONE)
-        texts, ids, rid = left.column("body").to_pylist(), _doc_ids(left), left.column("rid").to_pylist()
+        texts, ids = left.column("body").to_pylist(), _doc_ids(left)
         h, docs = word_hashes(texts)
         a, b, whole = _windows(h, docs, window)
+        x, y = _beaten(right, starts)
         at = np.flatnonzero(whole)
+        at = at[np.argsort(a[at])]
+        more = C.firsts(a[at])
+        more = ~more | np.append(~more[1:], np.zeros(min(1, len(at)), bool))  # equal to a neighbour in the chunk
+        at = at[more | C.is_in(a[at], x)]
         # smallest id of each window in this chunk, and the windows that lose to another chunk
         order = at[np.lexsort((ids[docs[at]], b[at], a[at]))]
         first = C.firsts(a[order]) | C.firsts(b[order])
-        low = ids[docs[order[first]]]
-        lost = np.zeros(len(low), bool)
-        if right.num_rows:
-            x = np.concatenate([C.unpack(v) for v in right.column("keys").to_pylist()])
-            y = np.concatenate([np.frombuffer(v, np.uint32) for v in right.column("checks").to_pylist()])
-            own = order[first]
-            both = np.lexsort((np.append(np.zeros(len(own), int), np.ones(len(x), int)), np.append(b[own], y), np.append(a[own], x)))
-            aa, bb = np.append(a[own], x)[both], np.append(b[own], y)[both]
-            same = np.zeros(len(both), bool)
-            same[:-1] = (aa[1:] == aa[:-1]) & (bb[1:] == bb[:-1])  # an own window followed by its lost key
-            mine = both < len(own)
-            lost[both[mine]] = same[mine]
-        group = np.cumsum(first) - 1
-        gone = order[lost[group] | (low[group] < ids[docs[order]])]
-        cover = np.zeros(len(h) + 1, np.int64)
-        np.add.at(cover, gone, 1)
-        np.add.at(cover, gone + window, -1)
-        drop = np.cumsum(cover[:-1]) > 0
+        own, group = order[first], np.cumsum(first) - 1
+        lost = _pairs_in(a[own], b[own], x, y)
+        gone = order[lost[group] | (ids[docs[own]][group] < ids[docs[order]])]
+        edge = np.bincount(gone, minlength=len(h) + 1)[:len(h) + 1] - np.bincount(gone + window, minlength=len(h) + 1)
+        drop = np.cumsum(edge[:-1]) > 0
         rows, lo = [], 0
         n = np.bincount(docs, minlength=len(texts)).tolist()
         for i, t in enumerate(texts):
-            own = drop[lo:lo + n[i]]
+            cut = drop[lo:lo + n[i]]
             lo += n[i]
-            words = t.encode("utf-8", "surrogatepass").split()
-            left_over = b" ".join([w for w, x in zip(words, own.tolist(), strict=True) if not x]).decode("utf-8", "surrogatepass")
-            rows.append((rid[i], left.column("doc")[i].as_py(), n[i], int(own.sum()), _digest(left_over, emit)))
+            words = (t or "").encode("utf-8", "surrogatepass").split()
+            if cut.any():
+                words = [w for w, gone_too in zip(words, cut.tolist(), strict=True) if not gone_too]
+            rows.append((left.column("doc")[i].as_py(), n[i], n[i] - len(words),
+                         _digest(b" ".join(words), emit)))
         return C.table(rows, _DONE)
 
     probes = src.mapInArrow(probe, "bucket int, chunk long, blob binary")
     hits = probes.groupBy("bucket").applyInArrow(lambda t: _shared_blocks(t, starts),
                                                  "chunk long, bucket int, blob binary")
-    state = src.groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInArrow(
-        extend, _DONE + ", body string, chunk long, bucket int, keys binary, checks binary, ids binary").checkpoint()
-    beaten = (state.where("keys is not null").select("bucket", "chunk", "keys", "checks", "ids")
-              .groupBy("bucket").applyInArrow(decide, "chunk long, keys binary, checks binary"))
-    touched = state.where("body is not null").select("rid", "doc", "body", "chunk")
-    rest = touched.groupBy("chunk").cogroup(beaten.groupBy("chunk")).applyInArrow(remove, _DONE)
-    done = state.where("n_removed is not null").select("rid", "doc", "n_words", "n_removed", "kept")
-    return done.unionByName(rest).select(F.col("doc").alias(doc_id), "n_words", "n_removed", "kept")
-
-
-def _joined(text: str | None) -> str:
-    return "" if text is None else b" ".join(text.encode("utf-8", "surrogatepass").split()).decode("utf-8", "surrogatepass")
+    texts = src.select("chunk", "doc", "body").repartition("chunk")
+    windows = texts.groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInArrow(
+        extend, "bucket int, chunk long, keys binary, checks binary, ids binary")
+    beaten = windows.groupBy("bucket").applyInArrow(decide, "bucket int, chunk long, keys binary, checks binary")
+    return (texts.groupBy("chunk").cogroup(beaten.groupBy("chunk")).applyInArrow(remove, _DONE)
+            .withColumnRenamed("doc", doc_id))
