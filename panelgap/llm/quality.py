@@ -120,7 +120,7 @@ OWN_RULES = (
     Rule("symbols", lambda m: m.get("n_symbols") > 0.2 * m.get("n_words")),
     Rule("duplicate_lines", lambda m: _let(m.get("n_dup_lines"), lambda n: (n >= 5) & (
         n > 0.5 * F.size(lines(m.text))))),
-    Rule("word_length", lambda m: ~(m.get("word_chars") / m.get("n_words")).between(2, 16)),
+    Rule("word_length", lambda m: ~m.get("word_chars").between(2 * m.get("n_words"), 16 * m.get("n_words"))),
     Rule("shouting", lambda m: (m.text == F.upper(m.text)) & (m.text != F.lower(m.text))),
     Rule("stutter", lambda m: F.size(F.filter(m.words, lambda x, i: x == F.get(m.words, i - 1)))
          > 0.5 * m.get("n_words")),

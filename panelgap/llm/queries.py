@@ -112,7 +112,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed
        AND NOT (n_symbols > 0.2 * n_words)
        AND NOT (n_dup_lines >= 5 AND n_dup_lines > 0.5 * len(ls))
-       AND word_chars / greatest(n_words, 1) BETWEEN 2 AND 16
+       AND word_chars BETWEEN 2 * n_words AND 16 * n_words
        AND NOT (t = upper(t) AND t <> lower(t))
        AND NOT (stutters > 0.5 * n_words)
        AND NOT (length(t) - length(replace(t, '!', '')) > 0.5 * n_words) AS kept
