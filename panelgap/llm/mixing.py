@@ -143,9 +143,9 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
 
 def mixed(docs: DataFrame, **parameters) -> DataFrame:
-    """``docs`` with each row repeated as often as the mix takes it; columns as given."""
-    row = "_mixing_row"
+    """``docs``, a stored table, with each row repeated as often as the mix takes it; columns as given."""
+    row, times = "_mixing_row", "_mixing_times"
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    taken = mix(numbered, carry=[row], **parameters).where("copies > 0").select(row, "copies")
-    return (numbered.join(taken, row).withColumn("copies_", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    taken = mix(numbered, carry=[row], **parameters).where("copies > 0").select(row, F.col("copies").alias(times))
+    return (numbered.join(taken, row).withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
