@@ -132,7 +132,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     dealt = (keyed.join(plan, ["s", "size"])
              .withColumn("h", F.xxhash64("doc", F.lit("copies")))
              .withColumn("part", F.pmod(F.xxhash64("doc", "h"), F.ceil(F.col("n") / GROUP_ROWS)))
-             .withColumn("tie", F.xxhash64(*[f"c{i}" for i in range(len(carry))]) if carry else F.lit(0)))
+             .withColumn("tie", F.xxhash64(*[f"c{i}" for i in range(len(carry))]) if carry else F.lit(0))
+             .repartition("s", "size", "part"))  # else the join's partitioning, with a size in one task, would serve the window
     parts = (dealt.groupBy("s", "size", "part").agg(F.count(F.lit(1)).alias("m"))
              .withColumn("ahead", F.coalesce(F.sum("m").over(before), F.lit(0))).drop("m"))
     place = F.col("ahead") + F.row_number().over(rank_in)
