@@ -24,7 +24,7 @@ from .quality import words
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3.0
 #: Documents of one source and size that one task ranks.
-GROUP_ROWS = 4096
+GROUP_ROWS = 512
 
 
 def source_targets(sizes: list[tuple[str | None, int]], weights=WEIGHTS, cap: float = CAP) -> list[float]:
