@@ -43,11 +43,12 @@ AGE_VALUES = [(TOTAL, "All order statuses", 1), ("F", "Order status F", 2),
 SEX_PREFIX = "G"
 AGE_PREFIX = "B"
 
-# quality-flag fixture (FIXTURES B3)
+# quality flags: cells resting on fewer observations are suppressed or flagged
 FLAG_UNRELIABLE = "u"
+SUPPRESS_BELOW = 20
+FLAG_BELOW = 50
+# the category that the expectations allow to have no value
 NULL_CATEGORY = "BF_L_SEV"
-N_NULL_CELLS = 5
-N_FLAGGED_CELLS = 14
 
 
 @dataclass(frozen=True)
@@ -74,6 +75,8 @@ class PanelSpec:
     age_mid: str = "O"
     age_old: str = "P"
     hit_threshold: float = 20.0
+    suppress_below: int = SUPPRESS_BELOW
+    flag_below: int = FLAG_BELOW
     leaders: tuple = ("NATION_0", "NATION_1", AGGREGATE_ENTITY)
     highlight: dict = field(default_factory=lambda: {
         "NATION_3": "#2E75B6", "NATION_7": "#2E75B6", "NATION_12": "#C00000"})

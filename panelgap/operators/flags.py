@@ -1,13 +1,8 @@
 """Quality flags and the reliability rule.
 
-``assign_fixture_flags`` reproduces the shape of the reference's quality flags
-on data that has none (FIXTURES B3): the smallest cells of one category lose
-their value and get flag ``u``; the next-smallest cells keep the value but get
-flag ``u``.  "Smallest" is a total order on (n, entity, category_code), so the
-selection is deterministic at every scale.  Each selection is a distributed
-top-k (``orderBy(...).limit(k)`` -> TakeOrderedAndProject: per-partition heaps
-of k rows, then a k-way merge), and the k selected keys are broadcast back,
-so the broadcast side is bounded by k, never by the data.
+A cell that rests on few observations is published without its value, or with a
+flag.  Both limits are parameters of the panel and are judged cell by cell, so the
+rule means the same at every size; zero switches it off.
 """
 
 from __future__ import annotations
@@ -15,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import FLAG_UNRELIABLE, N_FLAGGED_CELLS, N_NULL_CELLS, NULL_CATEGORY
+from ..config import FLAG_BELOW, FLAG_UNRELIABLE, SUPPRESS_BELOW
 
 
 def reliable_expr(flag: str = "quality_flag", value: str = "pct",
@@ -24,27 +19,11 @@ def reliable_expr(flag: str = "quality_flag", value: str = "pct",
     return ~((F.coalesce(F.col(flag), F.lit("")) == F.lit(unreliable)) | F.col(value).isNull())
 
 
-def assign_fixture_flags(cells: DataFrame, entity: str = "entity", category: str = "category_code",
-                         size: str = "n", value: str = "pct",
-                         null_category: str = NULL_CATEGORY, n_null: int = N_NULL_CELLS,
-                         n_flagged: int = N_FLAGGED_CELLS) -> DataFrame:
-    keys = [entity, category]
-    order = [size, entity, category]
-    base = cells.where(~F.col("is_aggregate"))
-    nulls = (base.where(F.col(category) == F.lit(null_category))
-             .orderBy(*order).limit(n_null).select(*keys).withColumn("_null", F.lit(True)))
-    # the n_flagged smallest cells outside ``nulls`` are always among the
-    # (n_null + n_flagged) smallest cells overall, so this top-k does not wait
-    # for ``nulls``: both selections scan the cube concurrently, and the
-    # exclusion runs on at most n_null + n_flagged rows
-    first = base.orderBy(*order).limit(n_null + n_flagged)
-    flagged = (first.join(F.broadcast(nulls), keys, "left_anti")
-               .orderBy(*order).limit(n_flagged).select(*keys).withColumn("_flag", F.lit(True)))
-    out = (cells.join(F.broadcast(nulls), keys, "left")
-           .join(F.broadcast(flagged), keys, "left"))
-    is_null = F.coalesce(F.col("_null"), F.lit(False))
-    is_flag = is_null | F.coalesce(F.col("_flag"), F.lit(False))
-    out = (out.withColumn(value, F.when(is_null, F.lit(None).cast("double")).otherwise(F.col(value)))
-           .withColumn("quality_flag", F.when(is_flag, F.lit(FLAG_UNRELIABLE)))
-           .drop("_null", "_flag"))
+def flag_small_cells(cells: DataFrame, suppress_below: int = SUPPRESS_BELOW, flag_below: int = FLAG_BELOW,
+                     size: str = "n", value: str = "pct") -> DataFrame:
+    """Adds ``quality_flag`` and ``is_reliable``: cells of under ``flag_below`` observations
+    are flagged, those of under ``suppress_below`` lose their value too."""
+    small = F.col(size) < F.lit(max(flag_below, suppress_below))
+    out = (cells.withColumn(value, F.when(F.col(size) >= F.lit(suppress_below), F.col(value)))
+           .withColumn("quality_flag", F.when(small, F.lit(FLAG_UNRELIABLE))))
     return out.withColumn("is_reliable", reliable_expr("quality_flag", value))

@@ -14,7 +14,7 @@ from pyspark.storagelevel import StorageLevel
 
 from ..config import AGE_VALUES, LEVELS, SEX_VALUES, all_category_codes, DEFAULT_SPEC, PanelSpec
 from ..operators.derive import derive_gaps
-from ..operators.flags import assign_fixture_flags
+from ..operators.flags import flag_small_cells
 from ..operators.metrics import entity_metrics
 from ..operators.panel import build_panel
 from ..session import ensure_checkpoint_dir
@@ -60,16 +60,12 @@ def fact(spark: SparkSession, sf_dir: str, entity: str = "nation",
     once per session to the shared checkpoint folder, so the queries of a
     session share one build, plan against a plain scan, and a lost executor
     costs nothing to recompute."""
-    key = _key(spark, sf_dir, f"fact:{entity}")
+    key = _key(spark, sf_dir, f"fact:{entity}:{spec!r}")
     if cache and key in _CACHE:
         return _CACHE[key]
-    # The cube is read three times below (two top-k selections, broadcast
-    # concurrently, and the flagged result).  Materialise it once into the
-    # checkpoint folder: one microdata job, and the fact's lineage starts at
-    # reliable storage, so a lost executor never re-runs the microdata join.
     ensure_checkpoint_dir(spark)
-    base = cells(spark, sf_dir, entity, spec).checkpoint(eager=True)
-    df = derive_gaps(assign_fixture_flags(base),
+    base = cells(spark, sf_dir, entity, spec)
+    df = derive_gaps(flag_small_cells(base, spec.suppress_below, spec.flag_below),
                      ref_level=spec.ref_level, bench_entity=spec.aggregate_entity)
     if cache:
         # a checkpoint rather than a cache: queries then plan against a plain
@@ -81,7 +77,7 @@ def fact(spark: SparkSession, sf_dir: str, entity: str = "nation",
 
 def mart(spark: SparkSession, sf_dir: str, spec: PanelSpec = DEFAULT_SPEC,
          cache: bool = True) -> DataFrame:
-    key = _key(spark, sf_dir, "mart")
+    key = _key(spark, sf_dir, f"mart:{spec!r}")
     if cache and key in _CACHE:
         return _CACHE[key]
     df = entity_metrics(fact(spark, sf_dir, spec=spec, cache=cache), spec)

@@ -1,16 +1,13 @@
-"""Independent SQL oracle (DuckDB dialect, also valid ANSI where possible).
+"""DuckDB SQL that the queries are compared with.
 
-Each query is a WITH-prelude that rebuilds the flagged panel from the raw
-tables (FIXTURES B2 + B3) followed by the query itself written the way the
-reference wrote it: self-joins, RANK() windows, scalar subqueries.  The Spark
-side computes the same results with a different plan (conditional
-aggregation, distributed rank), which is the point of the comparison.
+Written from the meaning of each query: a prelude rebuilds the panel from the raw
+tables, ``by_entity`` turns the cells a query compares into one row per entity.
 """
 
 from __future__ import annotations
 
 from ..config import (AGE_VALUES, AGGREGATE_ENTITY, AGGREGATE_ENTITY_NAME, AGGREGATE_REGION,
-                      LEVELS, N_FLAGGED_CELLS, N_NULL_CELLS, NULL_CATEGORY, SEX_VALUES,
+                      FLAG_BELOW, LEVELS, SEX_VALUES, SUPPRESS_BELOW,
                       all_category_codes)
 
 
@@ -68,23 +65,11 @@ cells AS (
 
 def fact_cte(entity: str = "nation", threshold: float = 20.0) -> str:
     return cells_cte(entity, threshold) + f""",
-fnull AS (
-  SELECT entity, category_code FROM cells
-  WHERE NOT is_aggregate AND category_code = '{NULL_CATEGORY}'
-  ORDER BY n, entity, category_code LIMIT {N_NULL_CELLS}),
-fflag AS (
-  SELECT c.entity, c.category_code FROM cells c
-  WHERE NOT c.is_aggregate
-    AND NOT EXISTS (SELECT 1 FROM fnull x WHERE x.entity = c.entity AND x.category_code = c.category_code)
-  ORDER BY c.n, c.entity, c.category_code LIMIT {N_FLAGGED_CELLS}),
 fact0 AS (
-  SELECT c.entity, c.is_aggregate, c.category_code, c.level, c.ls, c.os, c.n, c.hits,
-         CASE WHEN x.entity IS NULL THEN c.pct END AS pct,
-         CASE WHEN x.entity IS NOT NULL OR y.entity IS NOT NULL THEN 'u' END AS quality_flag,
-         NOT (x.entity IS NOT NULL OR y.entity IS NOT NULL) AS is_reliable
-  FROM cells c
-  LEFT JOIN fnull x ON x.entity = c.entity AND x.category_code = c.category_code
-  LEFT JOIN fflag y ON y.entity = c.entity AND y.category_code = c.category_code),
+  SELECT entity, is_aggregate, category_code, level, ls, os, n, hits,
+         CASE WHEN n >= {SUPPRESS_BELOW} THEN pct END AS pct,
+         CASE WHEN n < {FLAG_BELOW} THEN 'u' END AS quality_flag, n >= {FLAG_BELOW} AS is_reliable
+  FROM cells),
 fact AS (
   SELECT f.*, ROUND(100.0e0 - f.pct, 4) AS pct_excluded, ROUND(r.pct - f.pct, 4) AS gap_vs_ref,
          ROUND(f.pct - b.pct, 4) AS pct_vs_bench
@@ -156,3 +141,14 @@ mart AS (
 
 def with_mart(body: str, low: float = 0.0, high: float = 4.0) -> str:
     return "WITH " + fact_cte() + ",\n" + dims_cte() + mart_cte(low, high) + "\n" + body
+
+
+def by_entity(name: str, every: bool = True, where: str = "TRUE", **codes: str) -> str:
+    """A CTE with one row per entity: for each ``alias=category`` the value and ``alias_ok``,
+    its reliability.  ``every`` drops entities that lack one of the cells."""
+    picks = ", ".join(f"MAX(pct) FILTER (category_code = '{c}') AS {a}, "
+                      f"BOOL_AND(is_reliable) FILTER (category_code = '{c}') AS {a}_ok" for a, c in codes.items())
+    listed = ", ".join(f"'{c}'" for c in codes.values())
+    having = f" HAVING COUNT(DISTINCT category_code) = {len(codes)}" if every else ""
+    return (f", {name} AS (SELECT entity, {picks} FROM fact WHERE category_code IN ({listed}) AND {where} "
+            f"GROUP BY entity{having})")

@@ -34,13 +34,9 @@ def v_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
             .orderBy(F.col("_o").desc_nulls_last(), "entity").drop("_o"))
 
 
-query("v_gender", O.with_fact(f"""
-SELECT c.entity, c.entity_name, ROUND(f_f.pct, 2) AS pct_female_sev, ROUND(f_m.pct, 2) AS pct_male_sev,
-       ROUND(f_m.pct - f_f.pct, 2) AS gender_gap_pp
-FROM dim_entity c
-JOIN fact f_f ON f_f.entity = c.entity AND f_f.category_code = '{F_SEV}'
-JOIN fact f_m ON f_m.entity = c.entity AND f_m.category_code = '{M_SEV}'
-ORDER BY ABS(f_m.pct - f_f.pct) DESC"""))(v_gender)
+query("v_gender", O.with_fact(O.by_entity("pair", f=F_SEV, m=M_SEV) + """
+SELECT entity, entity_name, ROUND(f, 2) AS pct_female_sev, ROUND(m, 2) AS pct_male_sev, ROUND(m - f, 2) AS gender_gap_pp
+FROM pair JOIN dim_entity USING (entity)"""))(v_gender)
 
 
 def v_age(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,13 +47,9 @@ def v_age(spark: SparkSession, sf_dir: str) -> DataFrame:
             .orderBy(F.col("age_effect_pp").desc_nulls_last(), "entity"))
 
 
-query("v_age", O.with_fact(f"""
-SELECT c.entity, c.entity_name, ROUND(f_25.pct, 2) AS pct_mid_sev, ROUND(f_55.pct, 2) AS pct_old_sev,
-       ROUND(f_25.pct - f_55.pct, 2) AS age_effect_pp
-FROM dim_entity c
-JOIN fact f_25 ON f_25.entity = c.entity AND f_25.category_code = '{MID_SEV}'
-JOIN fact f_55 ON f_55.entity = c.entity AND f_55.category_code = '{OLD_SEV}'
-ORDER BY age_effect_pp DESC"""))(v_age)
+query("v_age", O.with_fact(O.by_entity("pair", mid=MID_SEV, old=OLD_SEV) + """
+SELECT entity, entity_name, ROUND(mid, 2) AS pct_mid_sev, ROUND(old, 2) AS pct_old_sev, ROUND(mid - old, 2) AS age_effect_pp
+FROM pair JOIN dim_entity USING (entity)"""))(v_age)
 
 
 # ------------------------------------------------------- chart R1 / R2 ----

@@ -51,8 +51,8 @@ def test_panel_total_equals_axis_sums(spark):
 
 
 def test_derive_window_equals_join(spark):
-    from panelgap.operators.flags import assign_fixture_flags
-    fact = assign_fixture_flags(build_panel(_micro(spark))).persist()
+    from panelgap.operators.flags import flag_small_cells
+    fact = flag_small_cells(build_panel(_micro(spark))).persist()
     w = derive_gaps(fact, method="window").select("entity", "category_code", "gap_vs_ref", "pct_vs_bench")
     j = derive_gaps(fact, method="join").select("entity", "category_code", "gap_vs_ref", "pct_vs_bench")
     assert w.exceptAll(j).count() == 0 and j.exceptAll(w).count() == 0
@@ -61,13 +61,15 @@ def test_derive_window_equals_join(spark):
     assert d.where((F.col("entity") == "ALL") & (F.col("pct_vs_bench") != 0)).count() == 0
 
 
-def test_fixture_flags_counts(spark):
-    from panelgap.operators.flags import assign_fixture_flags
-    fact = assign_fixture_flags(build_panel(_micro(spark)))
-    r = fact.agg(F.count_if(~F.col("is_reliable")).alias("u"), F.count_if(F.col("pct").isNull()).alias("n"),
-                 F.count_if(F.col("pct").isNull() & (F.col("category_code") != "BF_L_SEV")).alias("bad"),
-                 F.count_if(F.col("is_aggregate") & ~F.col("is_reliable")).alias("agg")).collect()[0]
-    assert (r.u, r.n, r.bad, r.agg) == (19, 5, 0, 0)
+def test_flags_follow_the_cell_size(spark):
+    from panelgap.operators.flags import flag_small_cells
+    cells = build_panel(_micro(spark))
+    plain = {(r.entity, r.category_code): r for r in cells.collect()}
+    for suppress, flag in ((20, 50), (0, 0), (100, 10)):
+        for r in flag_small_cells(cells, suppress, flag).collect():
+            small = r.n < max(suppress, flag)
+            assert r.pct == (None if r.n < suppress else plain[r.entity, r.category_code].pct)
+            assert (r.quality_flag, r.is_reliable) == (("u", False) if small else (None, True))
 
 
 @settings(max_examples=8, deadline=None)
