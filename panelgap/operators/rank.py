@@ -14,9 +14,9 @@ computed in three distributed steps:
 3. a prefix sum over those counts is broadcast back (its size is bounded by the
    number of partitions, not by the data).
 
-RANK is then the smallest ordinal of each tie group: an aggregation keyed by
-the ranked value (map-side combine absorbs a hot value) joined back with a
-null-safe equality.  Ordinals within groups (``partition_by``) subtract the
+RANK is then the smallest ordinal of each tie group: found per (sorted partition,
+value) first, then per value, and joined back on value and partition, so the rows of
+a hot value stay spread as the sort left them.  Ordinals within groups (``partition_by``) subtract the
 count of rows that precede the group in the global order.
 """
 
@@ -36,7 +36,8 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def global_row_number(df: DataFrame, order: Sequence[Column | str], out: str = "rn") -> DataFrame:
+def global_row_number(df: DataFrame, order: Sequence[Column | str], out: str = "rn",
+                      part_out: str | None = None) -> DataFrame:
     """Append ``out`` = 1-based position of each row in the total order ``order``.
 
     ``order`` must be a total order (unique keys) if the result should not
@@ -56,8 +57,8 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str], out: str = "
     res = (with_id.withColumn("_p", part).withColumn("_pos", pos)
            .join(F.broadcast(offsets), "_p")
            .withColumn(out, (F.col("_off") + F.col("_pos") + F.lit(1)).cast("long"))
-           .drop("_mid", "_p", "_pos", "_off"))
-    return res
+           .drop("_mid", "_pos", "_off"))
+    return res.withColumnRenamed("_p", part_out) if part_out else res.drop("_p")
 
 
 def rank_by(df: DataFrame, value: str, descending: bool = True,
@@ -77,7 +78,7 @@ def rank_by(df: DataFrame, value: str, descending: bool = True,
     salt = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     order = ([F.col(partition_by).asc_nulls_first()] if partition_by else []) + [key] + \
             [F.col(t).asc_nulls_first() for t in tiebreak] + [salt.asc()]
-    rn = global_row_number(df, order, "_rn")
+    rn = global_row_number(df, order, "_rn", part_out="_part")
     group_keys = [partition_by] if partition_by else []
     if partition_by:
         # rows before each group in the global order
@@ -85,16 +86,21 @@ def rank_by(df: DataFrame, value: str, descending: bool = True,
         rn = rn.join(first, rn[partition_by].eqNullSafe(first[partition_by])).drop(first[partition_by])
         rn = rn.withColumn("_rn", F.col("_rn") - F.col("_g0") + F.lit(1)).drop("_g0")
     if method == "row_number":
-        return rn.withColumnRenamed("_rn", out)
+        return rn.withColumnRenamed("_rn", out).drop("_part")
     if method != "rank":
         raise ValueError(method)
-    ties = rn.groupBy(*group_keys, value).agg(F.min("_rn").alias("_r"))
-    cond = rn[value].eqNullSafe(ties[value])
-    for g in group_keys:
-        cond = cond & rn[g].eqNullSafe(ties[g])
-    res = rn.join(ties, cond).drop(ties[value])
-    for g in group_keys:
-        res = res.drop(ties[g])
+    # first ordinal of each tie group, by way of one row per (sorted partition, value): a hot
+    # value spans many partitions, and its rows find their tie row by value and partition
+    keys = [*group_keys, value]
+    local = rn.groupBy(*keys, "_part").agg(F.min("_rn").alias("_r"))
+    first = local.groupBy(*[F.col(k).alias(f"{k}_t") for k in keys]).agg(F.min("_r").alias("_r"))
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"{k}_t"))
+    ties = (local.drop("_r").join(first, cond).drop(*keys)
+            .withColumnRenamed("_part", "_part_t"))
+    cond = cond & (F.col("_part") == F.col("_part_t"))
+    res = rn.join(ties, cond).drop("_part", "_part_t", *[f"{k}_t" for k in keys])
     res = res.withColumn(out, F.col("_r").cast("long"))
     if row_number_out:
         res = res.withColumnRenamed("_rn", row_number_out)
