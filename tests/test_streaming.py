@@ -3,7 +3,7 @@ time ends in the same cube as the batch build."""
 
 from panelgap.operators.panel import expand_cube
 from panelgap.plans import model
-from panelgap.streaming.panel_stream import start_panel_stream
+from panelgap.streaming.panel_stream import panel_groups, start_panel_stream
 from tests.conftest import SF_SMALL
 
 
@@ -15,7 +15,7 @@ def test_stream_matches_batch(spark, tmp_path):
     q.awaitTermination(300)
     assert q.exception() is None
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) >= 3   # one file per batch
-    streamed = expand_cube(spark.read.parquet(out))
+    streamed = expand_cube(panel_groups(spark, SF_SMALL, out))
     batch = model.cells(spark, SF_SMALL)
     assert streamed.count() == 624
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
