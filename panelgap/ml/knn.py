@@ -37,12 +37,14 @@ def knn_predict(train: DataFrame, test: DataFrame, features: Sequence[str], k: i
     t_cols = [f"_t{i}" for i in range(len(features))]
     reduced = top_k_per_group(train.select(*features, label, key), features, k, [F.col(key).asc()],
                               out="_kr").drop("_kr")
-    # domain of the train codes: one row, O(#features) values
-    bounds = reduced.agg(*[F.min(f).alias(f"_lo{i}") for i, f in enumerate(features)],
+    # domain of the train and test codes: one row, O(#features) values
+    trained = reduced.agg(F.min(features[0])).first()[0]
+    both = reduced.select(*features).unionByName(test.select(*features))
+    bounds = both.agg(*[F.min(f).alias(f"_lo{i}") for i, f in enumerate(features)],
                          *[F.max(f).alias(f"_hi{i}") for i, f in enumerate(features)]).collect()[0]
     lo = [bounds[f"_lo{i}"] for i in range(len(features))]
     hi = [bounds[f"_hi{i}"] for i in range(len(features))]
-    if lo[0] is None:
+    if trained is None:
         raise ValueError("empty train set")
     span = max(h - l for l, h in zip(lo, hi))
 

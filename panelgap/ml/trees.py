@@ -104,9 +104,11 @@ def tree_rules(ml: DataFrame, codes: Sequence[str], names: Sequence[str], max_de
         text = text.replace(f"feature {i} ", f"{n} ")
     lines = []
     for ln in text.splitlines()[1:]:
-        depth = (len(ln) - len(ln.lstrip(" "))) // 1
-        if depth <= 2 * max_depth + 1:
+        level = len(ln) - len(ln.lstrip(" ")) - 2  # the root is indented by two, each level by one more
+        if level <= max_depth:
             lines.append((len(lines) + 1, ln))
+        elif level == max_depth + 1 and not lines[-1][1].endswith("..."):
+            lines.append((len(lines) + 1, " " * (level + 2) + "..."))
     return spark.createDataFrame(lines, "line_no int, rule string")
 
 

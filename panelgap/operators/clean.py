@@ -18,7 +18,7 @@ from .flags import reliable_expr
 RAW_RENAME = {
     "TIME_PERIOD": "year",
     "geo": "entity",
-    "Entity (reporting)": "entity_label",
+    "Geopolitical entity (reporting)": "entity_label",
     "ind_type": "category_code",
     "Individual type": "category_desc",
     "OBS_VALUE": "pct",
@@ -175,7 +175,7 @@ def raw_from_fact(fact: DataFrame, entity_dim: DataFrame, dim_level: DataFrame,
         "Indicator": F.lit("Share of lines with quantity above 20"),
         "unit": F.lit("PC"), "Unit of measure": F.lit("Percentage"),
         "geo": F.col("entity"), "Geopolitical entity code": F.col("entity"),
-        "Entity (reporting)": F.col("entity_name"),
+        "Geopolitical entity (reporting)": F.col("entity_name"),
         "ind_type": F.col("category_code"), "Individual type": desc,
         "TIME_PERIOD": F.lit(year), "Time": F.lit(year),
         "OBS_VALUE": F.col("pct").cast("string"), "Observation value": F.col("pct").cast("string"),

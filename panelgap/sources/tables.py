@@ -31,9 +31,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataF
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Expose the source tables to Spark SQL under their own names."""
     for n in names:
-        p = table_path(sf_dir, n)
-        if os.path.exists(p):
-            spark.read.parquet(p).createOrReplaceTempView(n)
+        spark.read.parquet(table_path(sf_dir, n)).createOrReplaceTempView(n)
 
 
 def panel_microdata(spark: SparkSession, sf_dir: str, entity: str = "nation",

@@ -13,7 +13,7 @@ def raw_frame(spark, rows):
     full = []
     for geo, code, val, flag in rows:
         r = {c: "x" for c in RAW_COLS}
-        r.update({"TIME_PERIOD": "1998", "geo": geo, "Entity (reporting)": geo, "ind_type": code,
+        r.update({"TIME_PERIOD": "1998", "geo": geo, "Geopolitical entity (reporting)": geo, "ind_type": code,
                   "Individual type": code, "OBS_VALUE": val, "OBS_FLAG": flag})
         full.append(tuple(r[c] for c in RAW_COLS))
     return spark.createDataFrame(full, ", ".join(f"`{c}` string" for c in RAW_COLS))
