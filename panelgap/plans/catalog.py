@@ -6,6 +6,7 @@ from . import queries as _q  # noqa: F401
 from . import reports as _r  # noqa: F401
 from . import pipeline as _p  # noqa: F401
 from . import scale as _s  # noqa: F401
+from . import dirty as _d  # noqa: F401
 from . import ml_queries as _m  # noqa: F401
 from . import views as _v  # noqa: F401
 from .registry import REGISTRY

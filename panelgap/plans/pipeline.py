@@ -122,6 +122,10 @@ def fk_violations_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs += [("fact.entity->dim_entity", fact, "entity", model.entities(spark, sf_dir), "entity"),
               ("fact.category_code->dim_category", fact, "category_code", model.dim_category(spark),
                "category_code")]
+    category = model.dim_category(spark)
+    pairs += [(f"dim_category.{k}->dim", category, k, dim, k) for k, dim in (
+        ("level", model.dim_level(spark)), ("ls", model.dim_sex(spark)), ("os", model.dim_age(spark)))]
+    pairs += [("mart.entity->dim_entity", model.mart(spark, sf_dir), "entity", model.entities(spark, sf_dir), "entity")]
     return fk_violations(pairs)
 
 
@@ -133,10 +137,13 @@ def _fk_sql():
                  "WHERE NOT EXISTS (SELECT 1 FROM dim_entity y WHERE y.entity = x.entity)")
     parts.append("SELECT 'fact.category_code->dim_category', CAST(COUNT(*) AS BIGINT) FROM fact x "
                  "WHERE NOT EXISTS (SELECT 1 FROM dim_category y WHERE y.category_code = x.category_code)")
+    parts += [f"SELECT 'dim_category.{k}->dim', COUNT(*) FROM dim_category ANTI JOIN {d} USING ({k})"
+              for k, d in (("level", "dim_level"), ("ls", "dim_sex"), ("os", "dim_age"))]
+    parts.append("SELECT 'mart.entity->dim_entity', COUNT(*) FROM mart ANTI JOIN dim_entity USING (entity)")
     return "\n" + "\nUNION ALL ".join(parts)
 
 
-query("fk_violations", O.with_fact(_fk_sql()))(fk_violations_q)
+query("fk_violations", O.with_mart(_fk_sql()))(fk_violations_q)
 
 
 def range_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:

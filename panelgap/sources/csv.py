@@ -8,7 +8,6 @@ schema.
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -19,8 +18,6 @@ from ..operators.clean import null_na_tokens
 def read_raw_csv(spark: SparkSession, path: str, keep_tokens=("geo", "ind_type")) -> DataFrame:
     """Every column as string; a missing path is an error; the missing-
     value tokens a pandas reader would null become NULL except in code columns."""
-    if "://" not in path and not os.path.exists(path):
-        raise FileNotFoundError(f"CSV not found: {path}")
     header = spark.read.option("header", True).csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
     df = spark.read.schema(schema).option("header", True).option("encoding", "UTF-8").csv(path)

@@ -1,6 +1,7 @@
 """Cleaning pipeline on a dirty raw fixture (FIXTURES B3 raw form + C3)."""
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from panelgap.operators import clean as C
 from panelgap.operators.expect import check_panel, raise_on_fail
@@ -94,7 +95,7 @@ def test_na_tokens_and_csv_roundtrip(spark, tmp_path):
     assert "NA" in rows                       # a code column keeps 'NA'
     assert rows["NA"]["OBS_VALUE"] is None and rows["N1"]["OBS_VALUE"] is None
     assert rows["N2"]["OBS_VALUE"] == "12.5"
-    with pytest.raises(FileNotFoundError):
+    with pytest.raises(AnalysisException):
         read_raw_csv(spark, str(tmp_path / "missing.csv"))
 
 
