@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,35 +36,3 @@ def diff(a, b, d: int | None = 2) -> Column:
 def strip(c) -> Column:
     """Python ``str.strip()``: remove all leading/trailing whitespace."""
     return F.regexp_replace(col(c), r"^\s+|\s+$", "")
-
-
-def na_to_null(c, tokens: Iterable[str] = NA_TOKENS) -> Column:
-    return F.when(col(c).isin(*tokens), F.lit(None).cast("string")).otherwise(col(c))
-
-
-def map_lookup(c, mapping: Mapping, default=None) -> Column:
-    """Dictionary lookup; a missing key gives ``default`` (NULL) like ``Series.map``."""
-    if not mapping:
-        return F.lit(default)
-    m = F.create_map(*[x for kv in mapping.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-    v = m[col(c)]
-    return F.coalesce(v, F.lit(default)) if default is not None else v
-
-
-def case_map(c, pairs: Sequence[tuple], otherwise=None) -> Column:
-    """Simple CASE x WHEN a THEN b ... ELSE otherwise END."""
-    e = None
-    for k, v in pairs:
-        cond = col(c) == F.lit(k)
-        e = F.when(cond, F.lit(v)) if e is None else e.when(cond, F.lit(v))
-    return e.otherwise(F.lit(otherwise)) if otherwise is not None else e
-
-
-def compare3(a, b, above: str, below: str, equal: str) -> Column:
-    """Three-way comparison CASE (C7); NULL falls in the ELSE branch."""
-    return F.when(col(a) > col(b), above).when(col(a) < col(b), below).otherwise(equal)
-
-
-def pair_quality(rel_a, rel_b, bad: str, good: str) -> Column:
-    """CASE WHEN a unreliable OR b unreliable THEN bad ELSE good."""
-    return F.when((~col(rel_a)) | (~col(rel_b)), bad).otherwise(good)

@@ -5,6 +5,7 @@ a dimension, so the whole chain is one lazy plan (one scan, no UDF).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -84,7 +85,7 @@ def convert_types(df: DataFrame, year: str = "year", value: str = "pct") -> Data
 
 
 def _prefix_regex(prefixes: Mapping[str, str]) -> str:
-    return "|".join(sorted(prefixes, key=len, reverse=True))
+    return "|".join(re.escape(p) for p in sorted(prefixes, key=len, reverse=True))
 
 
 def decode_category(df: DataFrame, category: str = "category_code",

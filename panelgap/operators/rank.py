@@ -61,6 +61,21 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str], out: str = "
     return res.withColumnRenamed("_p", part_out) if part_out else res.drop("_p")
 
 
+def _with_first(rn: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    """Adds the first ordinal of each group of equal (or null) ``keys``.
+
+    By way of one row per (sorted partition, group): a hot group spans many
+    partitions, and its rows find their row by group and partition."""
+    local = rn.groupBy(*keys, "_part").agg(F.min("_rn").alias("_first"))
+    whole = local.groupBy(*[F.col(k).alias(f"{k}_t") for k in keys]).agg(F.min("_first").alias(out))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}_t"))
+    spots = local.drop("_first").join(whole, same).drop(*keys).withColumnRenamed("_part", "_part_t")
+    return (rn.join(spots, same & (F.col("_part") == F.col("_part_t")))
+            .drop("_part_t", *[f"{k}_t" for k in keys]))
+
+
 def rank_by(df: DataFrame, value: str, descending: bool = True,
             tiebreak: Sequence[str] = (), method: str = "rank", out: str = "rank",
             partition_by: str | None = None, row_number_out: str | None = None) -> DataFrame:
@@ -82,25 +97,13 @@ def rank_by(df: DataFrame, value: str, descending: bool = True,
     group_keys = [partition_by] if partition_by else []
     if partition_by:
         # rows before each group in the global order
-        first = rn.groupBy(partition_by).agg(F.min("_rn").alias("_g0"))
-        rn = rn.join(first, rn[partition_by].eqNullSafe(first[partition_by])).drop(first[partition_by])
+        rn = _with_first(rn, group_keys, "_g0")
         rn = rn.withColumn("_rn", F.col("_rn") - F.col("_g0") + F.lit(1)).drop("_g0")
     if method == "row_number":
         return rn.withColumnRenamed("_rn", out).drop("_part")
     if method != "rank":
         raise ValueError(method)
-    # first ordinal of each tie group, by way of one row per (sorted partition, value): a hot
-    # value spans many partitions, and its rows find their tie row by value and partition
-    keys = [*group_keys, value]
-    local = rn.groupBy(*keys, "_part").agg(F.min("_rn").alias("_r"))
-    first = local.groupBy(*[F.col(k).alias(f"{k}_t") for k in keys]).agg(F.min("_r").alias("_r"))
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"{k}_t"))
-    ties = (local.drop("_r").join(first, cond).drop(*keys)
-            .withColumnRenamed("_part", "_part_t"))
-    cond = cond & (F.col("_part") == F.col("_part_t"))
-    res = rn.join(ties, cond).drop("_part", "_part_t", *[f"{k}_t" for k in keys])
+    res = _with_first(rn, [*group_keys, value], "_r").drop("_part")
     res = res.withColumn(out, F.col("_r").cast("long"))
     if row_number_out:
         res = res.withColumnRenamed("_rn", row_number_out)

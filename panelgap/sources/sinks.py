@@ -1,8 +1,8 @@
 """Sinks (S3, S4, S6, S7): full-refresh writes.
 
 The reference deletes and re-inserts its fact and mart on every load; here a
-load is ``mode("overwrite")``, which replaces the table atomically per
-partition directory.  Values are rounded to 4 dp on the way out as the
+load is ``mode("overwrite")``: the old table is deleted, then the new one written,
+so a failed load has to be run again before the table is read.  Values are rounded to 4 dp on the way out as the
 reference stores them, and NaN never exists (SQL NULL only).
 """
 
