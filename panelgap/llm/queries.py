@@ -13,6 +13,7 @@ from .decontaminate import overlaps
 from .language_id import identify
 from .language_model import score_texts
 from .mixing import mix
+from .oracle import REPEATS_SQL, overlaps_sql, urls_sql
 from .quality import quality_report
 from .sharding import shard
 from .simhash import simhash_components
@@ -126,4 +127,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Only what SQL can say: the others rest on hash functions, fitted models or iteration."""
-    return {"op1_quality": QUALITY_SQL}
+    return {"op1_quality": QUALITY_SQL, "op4_decontaminate": overlaps_sql(), "op8_urls": urls_sql(URL_RULES),
+            "op10_substring_dedup": REPEATS_SQL}
