@@ -40,6 +40,8 @@ AGGREGATE_LEVEL_MEMBERS = ("A", "R")
 SEX_VALUES = [(TOTAL, "Both statuses", 1), ("F", "Line status F", 2), ("O", "Line status O", 3)]
 AGE_VALUES = [(TOTAL, "All order statuses", 1), ("F", "Order status F", 2),
               ("O", "Order status O", 3), ("P", "Order status P", 4)]
+# code, name, unit, frequency, reference year
+INDICATOR = ("LINE_SHARE", "Line items above the quantity threshold", "Percentage of line items", "A", 1998)
 SEX_PREFIX = "G"
 AGE_PREFIX = "B"
 

@@ -20,6 +20,8 @@ from ..operators.quantile import exact_quantile
 from ..operators.rank import global_row_number, rank_by
 
 FEATURES = ("level", "ls", "os", "entity")
+#: Axes of the cube: their values are codes of the panel, not data.
+FIXED = ("level", "ls", "os")
 CODES = tuple(f"{c}_code" for c in FEATURES)
 
 
@@ -37,10 +39,12 @@ def label_rows(fact: DataFrame, threshold: float | Column | None = None, ref_lev
         (F.col("level") != F.lit(ref_level)).cast("long").alias("has_level"))
 
 
-def label_encode(df: DataFrame, cols: Sequence[str] = FEATURES) -> DataFrame:
+def label_encode(df: DataFrame, cols: Sequence[str] = FEATURES, fixed: Sequence[str] = FIXED) -> DataFrame:
     """M8: alphabetical codes 0..n-1 per column (LabelEncoder semantics).
 
-    The dictionary stays distributed: distinct values of each column are
+    A ``fixed`` axis has a handful of values whatever the data: its sorted values are one
+    array, a code is a place in it, and nothing is joined.  For the others
+    the dictionary stays distributed: distinct values of each column are
     numbered with the distributed ordinal and joined back, so no column's
     distinct values ever pass through the driver (``StringIndexer`` would
     collect them, which an entity axis of customers cannot afford).  The
@@ -48,6 +52,10 @@ def label_encode(df: DataFrame, cols: Sequence[str] = FEATURES) -> DataFrame:
     Rows with a NULL feature are dropped, as an encoder rejects them."""
     out = df
     for c in cols:
+        if c in fixed:
+            values = df.agg(F.sort_array(F.collect_set(c))).scalar()
+            out = out.withColumn(f"{c}_code", F.array_position(values, F.col(c)) - F.lit(1)).where(F.col(c).isNotNull())
+            continue
         vals = df.select(c).where(F.col(c).isNotNull()).distinct()
         codes = global_row_number(vals, [F.col(c).asc()], "_code").select(
             c, (F.col("_code") - F.lit(1)).cast("long").alias(f"{c}_code"))

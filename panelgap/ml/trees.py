@@ -25,25 +25,25 @@ def _assemble(df: DataFrame, codes: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(codes), outputCol="features").transform(df)
 
 
-def make_estimator(name: str, max_bins: int, seed: int = 42):
+#: Split candidates of a feature.  Up to as many codes the splits are exact, above they lie at
+#: quantiles, so that the memory of a fit does not grow with the number of entities.
+MAX_BINS = 256
+
+
+def make_estimator(name: str, seed: int = 42):
     if name == "decision_tree":
-        return DecisionTreeClassifier(maxDepth=4, impurity="gini", maxBins=max_bins, seed=seed,
+        return DecisionTreeClassifier(maxDepth=4, impurity="gini", maxBins=MAX_BINS, seed=seed,
                                       labelCol="label", featuresCol="features")
     if name == "random_forest":
         return RandomForestClassifier(numTrees=100, maxDepth=4, featureSubsetStrategy="sqrt",
-                                      maxBins=max_bins, seed=seed, labelCol="label", featuresCol="features")
+                                      maxBins=MAX_BINS, seed=seed, labelCol="label", featuresCol="features")
     raise ValueError(name)
 
 
-def _max_bins(df: DataFrame, codes: Sequence[str]) -> int:
-    row = df.agg(*[F.max(c).alias(c) for c in codes]).collect()[0]   # one row
-    return max(32, max(int(row[c] or 0) + 1 for c in codes))
-
-
-def fit_predict(name: str, train: DataFrame, test: DataFrame, codes: Sequence[str], max_bins: int):
+def fit_predict(name: str, train: DataFrame, test: DataFrame, codes: Sequence[str]):
     if name == "knn":
         return None, knn_predict(train, test, codes, k=5)
-    model = make_estimator(name, max_bins).fit(_assemble(train, codes))
+    model = make_estimator(name).fit(_assemble(train, codes))
     pred = model.transform(_assemble(test, codes)).withColumn("prediction", F.col("prediction").cast("long"))
     return model, pred
 
@@ -53,14 +53,14 @@ def compare_models(ml: DataFrame, codes: Sequence[str], models=("knn", "random_f
     """(model, accuracy_test, accuracy_cv, precision/recall/f1 of class 1,
     is_best) -- best = highest CV accuracy, ties by model name."""
     spark = ml.sparkSession
-    bins = _max_bins(ml, codes)
+
     def test_fit(name):
-        _, pred = fit_predict(name, ml.where(~F.col("is_test")), ml.where(F.col("is_test")), codes, bins)
+        _, pred = fit_predict(name, ml.where(~F.col("is_test")), ml.where(F.col("is_test")), codes)
         acc = accuracy(pred).collect()[0][0]
         return acc, {r.class_label: r for r in report(confusion(pred)).collect()}   # <= 5 rows
 
     def fold_fit(name, f):
-        _, p = fit_predict(name, ml.where(F.col("fold") != f), ml.where(F.col("fold") == f), codes, bins)
+        _, p = fit_predict(name, ml.where(F.col("fold") != f), ml.where(F.col("fold") == f), codes)
         return accuracy(p).collect()[0][0]
 
     # every fit is independent: submit them as concurrent Spark jobs
@@ -84,11 +84,19 @@ def compare_models(ml: DataFrame, codes: Sequence[str], models=("knn", "random_f
         "f1_pos double, is_best boolean").orderBy(F.col("accuracy_cv").desc())
 
 
-def feature_importance(ml: DataFrame, codes: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Random-forest importances, sorted descending (one row per feature)."""
+def results_table(compared: DataFrame) -> DataFrame:
+    """The comparison as it is exported, figures rounded to 4 places, best model marked."""
+    figures = [c for c, t in compared.dtypes if t == "double"]
+    return compared.withColumns({c: F.round(c, 4) for c in figures}).orderBy(F.col("accuracy_cv").desc(), "model")
+
+
+def feature_importance(ml: DataFrame, codes: Sequence[str], names: Sequence[str],
+                       best: str = "random_forest") -> DataFrame:
+    """Importances of the best model, sorted descending (one row per feature); a
+    model that has none (k-NN) gives way to the forest."""
     spark = ml.sparkSession
-    model, _ = fit_predict("random_forest", ml.where(~F.col("is_test")), ml.where(F.col("is_test")), codes,
-                           _max_bins(ml, codes))
+    best = best if best in ("random_forest", "decision_tree") else "random_forest"
+    model, _ = fit_predict(best, ml.where(~F.col("is_test")), ml.where(F.col("is_test")), codes)
     imp = model.featureImportances.toArray().tolist()
     return spark.createDataFrame(list(zip(names, [float(v) for v in imp])),
                                  "feature string, importance double").orderBy(F.col("importance").desc())
@@ -97,8 +105,7 @@ def feature_importance(ml: DataFrame, codes: Sequence[str], names: Sequence[str]
 def tree_rules(ml: DataFrame, codes: Sequence[str], names: Sequence[str], max_depth: int = 3) -> DataFrame:
     """The decision tree as text lines, cut at ``max_depth``."""
     spark = ml.sparkSession
-    model, _ = fit_predict("decision_tree", ml.where(~F.col("is_test")), ml.where(F.col("is_test")), codes,
-                           _max_bins(ml, codes))
+    model, _ = fit_predict("decision_tree", ml.where(~F.col("is_test")), ml.where(F.col("is_test")), codes)
     text = model.toDebugString
     for i, n in enumerate(names):
         text = text.replace(f"feature {i} ", f"{n} ")
@@ -112,9 +119,13 @@ def tree_rules(ml: DataFrame, codes: Sequence[str], names: Sequence[str], max_de
     return spark.createDataFrame(lines, "line_no int, rule string")
 
 
-def profile_scores(ml: DataFrame, codes: Sequence[str]) -> DataFrame:
-    """Random-forest probability of the positive class for the test rows."""
-    model, pred = fit_predict("random_forest", ml.where(~F.col("is_test")), ml.where(F.col("is_test")), codes,
-                              _max_bins(ml, codes))
+def profile_scores(ml: DataFrame, codes: Sequence[str], profiles: Sequence[tuple] | None = None) -> DataFrame:
+    """Random-forest probability of the positive class for the test rows, or for
+    the named ``profiles``, tuples of (entity, category_code)."""
+    rows = ml.where(F.col("is_test"))
+    if profiles is not None:
+        named = ml.sparkSession.createDataFrame(list(profiles), "entity string, category_code string")
+        rows = ml.join(F.broadcast(named), ["entity", "category_code"], "left_semi")
+    _, pred = fit_predict("random_forest", ml.where(~F.col("is_test")), rows, codes)
     return pred.select("entity", "category_code", "label", "prediction",
                        vector_to_array("probability")[1].alias("prob_pos"))

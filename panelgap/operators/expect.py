@@ -78,21 +78,38 @@ def raise_on_fail(checks: DataFrame) -> None:
         raise AssertionError("expectations failed: " + ", ".join(f"{r.check_name}={r.violations}" for r in failed))
 
 
-def fk_violations(pairs: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
+def fk_violations(keys: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
     """One row per foreign key (name, violations) = child rows whose key
-    has no parent.  Only key columns are read.  Child keys are counted first
-    (partial aggregation map-side: a key holding a third of the rows becomes
-    one row per task), and the unmatched keys are found on distinct keys,
-    reusing the aggregate's hash partitioning on the key."""
-    out = None
-    for name, child, ck, parent, pk in pairs:
-        c = (child.select(F.col(ck).alias("_k")).where(F.col("_k").isNotNull())
-             .groupBy("_k").agg(F.count(F.lit(1)).alias("_n")))
-        p = parent.select(F.col(pk).alias("_k"), F.lit(True).alias("_hit"))
+    has no parent.  Each child frame is read once, for all its keys: a row is
+    turned into (key number, value) pairs, which are counted map-side (a value
+    holding a third of the rows becomes one row per task) before the shuffle;
+    parents are joined to the counts on the same key.  Whole numbers travel as
+    such, other values as text."""
+    spark = keys[0][1].sparkSession
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    found = None
+    for as_type in ("long", "string"):
+        mine = [(i, k) for i, k in enumerate(keys)
+                if isinstance(k[1].schema[k[2]].dataType, whole) == (as_type == "long")]
+        children: dict[int, list] = {}
+        for i, k in mine:
+            children.setdefault(id(k[1]), []).append((i, k))
+        counts = parents = None
+        for group in children.values():
+            pairs = [F.struct(F.lit(i).alias("fk"), F.col(k[2]).cast(as_type).alias("k")) for i, k in group]
+            one = (group[0][1][1].select(F.explode(F.array(*pairs)).alias("p")).select("p.*").where("k is not null")
+                   .groupBy("fk", "k").agg(F.count(F.lit(1)).alias("n")))
+            counts = one if counts is None else counts.unionByName(one)
+        for i, (_, _, _, parent, pk) in mine:
+            one = parent.select(F.lit(i).alias("fk"), F.col(pk).cast(as_type).alias("k"), F.lit(True).alias("hit"))
+            parents = one if parents is None else parents.unionByName(one)
+        if counts is None:
+            continue
         # left join + IS NULL rather than left_anti: Catalyst would push an
         # anti join below the aggregation and shuffle raw child rows again
-        one = (c.join(p, "_k", "left").where(F.col("_hit").isNull())
-               .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("violations"))
-               .select(F.lit(name).alias("fk"), "violations"))
-        out = one if out is None else out.unionByName(one)
-    return out
+        lost = (counts.join(parents, ["fk", "k"], "left").where("hit is null")
+                .groupBy("fk").agg(F.sum("n").alias("violations")))
+        found = lost if found is None else found.unionByName(lost)
+    names = spark.createDataFrame([(i, k[0]) for i, k in enumerate(keys)], "i int, name string")
+    return (names.join(found, F.col("i") == F.col("fk"), "left")
+            .select(F.col("name").alias("fk"), F.coalesce("violations", F.lit(0)).cast("long").alias("violations")))

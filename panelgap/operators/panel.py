@@ -59,11 +59,21 @@ def expand_cube(groups: DataFrame, entity: str = "entity", raw_level: str = "rf"
                 aggregate_level: str | None = AGGREGATE_LEVEL,
                 aggregate_members: Sequence[str] = AGGREGATE_LEVEL_MEMBERS,
                 aggregate_entity: str | None = AGGREGATE_ENTITY,
-                total: str = TOTAL) -> DataFrame:
-    """Pre-aggregated groups -> cube cells (bounded Expand + one aggregation)."""
+                total: str = TOTAL, wanted_levels: Sequence[str] | None = None,
+                breakdowns: Sequence[str] | None = None) -> DataFrame:
+    """Pre-aggregated groups -> cube cells (bounded Expand + one aggregation).
+
+    ``wanted_levels`` and ``breakdowns`` (axes to break down by; none for the totals
+    alone) limit the cube before it is expanded; the filter reaches the scan."""
     axis_cols = [a for a, _ in axes]
+    if wanted_levels is not None:
+        level_map = {raw: lv for raw, lv in level_map.items()
+                     if lv in wanted_levels or (aggregate_level in wanted_levels and raw in aggregate_members)}
+        groups = groups.where(F.col(raw_level).isin(*level_map))
     lvl = _map_expr(raw_level, level_map)
-    if aggregate_level is not None:
+    if wanted_levels is not None and aggregate_level not in wanted_levels:
+        levels = F.array(lvl)
+    elif aggregate_level is not None:
         levels = F.when(F.col(raw_level).isin(*aggregate_members),
                         F.array(lvl, F.lit(aggregate_level))).otherwise(F.array(lvl))
     else:
@@ -72,12 +82,15 @@ def expand_cube(groups: DataFrame, entity: str = "entity", raw_level: str = "rf"
             else F.array(F.col(entity)))
     # grouping sets: level only, then level x each axis
     sets = [F.struct(*[F.lit(total).alias(a) for a in axis_cols])]
-    for keep in axis_cols:
+    for keep in axis_cols if breakdowns is None else breakdowns:
         sets.append(F.struct(*[(F.col(a) if a == keep else F.lit(total)).alias(a) for a in axis_cols]))
 
     expanded = (groups
                 .select(F.explode(ents).alias("_e"), raw_level, *axis_cols, "n", "hits")
-                .select("_e", F.explode(levels).alias("_l"), *axis_cols, "n", "hits")
+                .select("_e", F.explode(levels).alias("_l"), *axis_cols, "n", "hits"))
+    if wanted_levels is not None:
+        expanded = expanded.where(F.col("_l").isin(*wanted_levels))
+    expanded = (expanded
                 .select("_e", "_l", F.explode(F.array(*sets)).alias("_s"), "n", "hits")
                 .select(F.col("_e").alias(entity), F.col("_l").alias("level"),
                         *[F.col(f"_s.{a}").alias(a) for a in axis_cols], "n", "hits"))

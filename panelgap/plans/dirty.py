@@ -93,6 +93,17 @@ found AS (
 SELECT check_name, violations::BIGINT AS violations, IF(violations = 0, 'pass', 'fail') AS status FROM found"""))(expectations_dirty)
 
 
+def missing_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1's list: the cells that every entity should have and for which the cleaned export has no value."""
+    want = model.entities(spark, sf_dir).select("entity", F.explode(F.array(*[F.lit(c) for c in CODES])).alias("category_code"))
+    return want.join(clean_dirty(spark, sf_dir).where("pct is not null").select("entity", "category_code"), ["entity", "category_code"], "left_anti")
+
+
+query("missing_cells", O.with_fact(_DIRTY + """
+SELECT entity, category_code FROM dim_entity CROSS JOIN (SELECT category_code FROM dim_category)
+ANTI JOIN (FROM tidy WHERE pct IS NOT NULL) USING (entity, category_code)"""))(missing_cells)
+
+
 def mart_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart by its gap, where a missing gap counts as zero."""
     return (model.mart(spark, sf_dir).select("entity", "gap_total", F.coalesce("gap_total", F.lit(0.0)).alias("sort_gap"))

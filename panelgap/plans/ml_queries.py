@@ -13,7 +13,7 @@ from ..ml.evaluate import confusion, majority_baseline as majority, report
 from ..ml.knn import knn_predict as knn
 from ..ml.sample import CODES
 from ..ml.trees import compare_models, feature_importance as importances, profile_scores as scores
-from ..ml.trees import tree_rules as rules
+from ..ml.trees import results_table, tree_rules as rules
 from . import model
 from . import oracle as O
 from .registry import query
@@ -97,7 +97,7 @@ def _knn(spark, sf_dir):
     if key not in model._CACHE:
         ml = _ml(spark, sf_dir)
         pred = knn(ml.where(~F.col("is_test")), ml.where(F.col("is_test")), CODES, k=5)
-        model._CACHE[key] = pred.persist()
+        model._CACHE[key] = pred.checkpoint()
     return model._CACHE[key]
 
 
@@ -200,9 +200,12 @@ query("kmeans_clusters", note="MLlib K-Means with seed restarts: rows-only")(kme
 
 
 def elbow(spark: SparkSession, sf_dir: str, ks=range(2, 7)) -> DataFrame:
-    """M4/M5: best cost over restarts and silhouette for each k (k < n)."""
-    pts = _points(spark, sf_dir).persist()
+    """M4/M5: best cost over restarts and silhouette for each k; as in the reference, a k
+    of the number of points or more has no row."""
+    pts = _points(spark, sf_dir).checkpoint()
     n = pts.count()
+    if n <= min(ks):
+        raise ValueError(f"{n} points are too few for any of the cluster numbers {list(ks)}")
     best, vec = kmeans_grid(pts, ["gap_total_z", "pct_sev_z"], [k for k in ks if k < n])
     rows = []
     for k, (m, cost) in sorted(best.items()):
@@ -216,14 +219,25 @@ query("elbow", note="MLlib K-Means per k: rows-only")(elbow)
 
 # -------------------------------------------------------------- trees ----
 def tree_forest_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compare_models(_ml(spark, sf_dir), CODES)
+    key = model._key(spark, sf_dir, "compare")
+    if key not in model._CACHE:
+        model._CACHE[key] = compare_models(_ml(spark, sf_dir), CODES)
+    return model._CACHE[key]
 
 
 query("tree_forest_compare", note="MLlib fits: rows-only")(tree_forest_compare)
 
 
+def model_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return results_table(tree_forest_compare(spark, sf_dir))
+
+
+query("model_results", note="MLlib fits: rows-only")(model_results)
+
+
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return importances(_ml(spark, sf_dir), CODES, FEATURE_NAMES)
+    best = tree_forest_compare(spark, sf_dir).where("is_best").first()["model"]
+    return importances(_ml(spark, sf_dir), CODES, FEATURE_NAMES, best)
 
 
 query("feature_importance", note="MLlib fit: rows-only")(feature_importance)
@@ -242,33 +256,87 @@ def profile_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 query("profile_scores", note="MLlib fit: rows-only")(profile_scores)
 
+#: The profiles that the report names: focus entity by sex, age and level, and three others.
+PROFILES = (("NATION_3", "GF_L_SEV"), ("NATION_3", "GO_L_NONE"), ("NATION_0", "L_SEV"), ("NATION_7", "BP_L_SEV"),
+            ("NATION_12", "GF_L_LTD"))
+
+
+def named_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scores(_ml(spark, sf_dir), CODES, PROFILES)
+
+
+query("named_profiles", note="MLlib fit: rows-only")(named_profiles)
+
 
 def _clusters(spark, sf_dir):
     key = model._key(spark, sf_dir, "kmeans")
     if key not in model._CACHE:
         pts = _points(spark, sf_dir)
         m, _, vec = kmeans_restarts(pts, ["gap_total_z", "pct_sev_z"], 3)
-        model._CACHE[key] = relabel_by_mean(m.transform(vec), "gap_total").persist()
+        model._CACHE[key] = relabel_by_mean(m.transform(vec), "gap_total").checkpoint()
     return model._CACHE[key]
 
 
-def cluster_means(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean features and size per (relabelled) cluster."""
-    return (_clusters(spark, sf_dir).groupBy("cluster", "group_name")
+def _grouped(spark, sf_dir):
+    """The mart's inclusion groups in the place of clusters, numbered by mean gap."""
+    return relabel_by_mean(_points(spark, sf_dir), "gap_total", raw="inclusion_group")
+
+
+def _means(clusters: DataFrame) -> DataFrame:
+    return (clusters.groupBy("cluster", "group_name")
             .agg(F.avg("gap_total").alias("mean_gap_total"), F.avg("pct_sev").alias("mean_pct_sev"),
                  F.count(F.lit(1)).alias("n_entities"))
             .orderBy("cluster"))
 
 
+def _check(clusters: DataFrame, entities) -> DataFrame:
+    c = clusters.where(F.col("entity").isin(*entities))
+    return c.agg(F.count(F.lit(1)).alias("n_found"), F.count_distinct("cluster").alias("n_clusters"),
+                 (F.count_distinct("cluster") == 1).alias("same_cluster"),
+                 F.array_sort(F.collect_set("group_name")).alias("groups"))
+
+
+GROUPED_SQL = """
+, pts AS (SELECT entity, inclusion_group, gap_total, pct_sev FROM mart
+          WHERE NOT is_aggregate AND gap_total + pct_sev IS NOT NULL),
+numbered AS (SELECT inclusion_group, row_number() OVER (ORDER BY avg(gap_total), inclusion_group) - 1 AS cluster
+             FROM pts GROUP BY inclusion_group),
+grouped AS (SELECT *, ['High inclusion', 'Medium inclusion', 'Low inclusion'][cluster + 1] AS group_name
+            FROM pts JOIN numbered USING (inclusion_group))"""
+
+
+def group_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7 on a grouping that SQL can follow."""
+    return _means(_grouped(spark, sf_dir))
+
+
+query("group_means", O.with_mart(GROUPED_SQL + """
+SELECT cluster, group_name, avg(gap_total) AS mean_gap_total, avg(pct_sev) AS mean_pct_sev, count(*) AS n_entities
+FROM grouped GROUP BY ALL"""))(group_means)
+
+
+def group_check(spark: SparkSession, sf_dir: str, entities=("NATION_3", "NATION_7")) -> DataFrame:
+    """M7 on the same grouping."""
+    return _check(_grouped(spark, sf_dir), entities).withColumn("groups", F.array_join("groups", ","))
+
+
+query("group_check", O.with_mart(GROUPED_SQL + """
+SELECT count(*) AS n_found, count(DISTINCT cluster) AS n_clusters, count(DISTINCT cluster) = 1 AS same_cluster,
+       string_agg(DISTINCT group_name, ',' ORDER BY group_name) AS groups
+FROM grouped WHERE entity IN ('NATION_3', 'NATION_7')"""))(group_check)
+
+
+def cluster_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean features and size per (relabelled) cluster."""
+    return _means(_clusters(spark, sf_dir))
+
+
 query("cluster_means", note="depends on the K-Means fit: rows-only")(cluster_means)
 
 
 def cluster_check(spark: SparkSession, sf_dir: str, entities=("NATION_3", "NATION_7")) -> DataFrame:
     """M7: do the named entities share one cluster?"""
-    c = _clusters(spark, sf_dir).where(F.col("entity").isin(*entities))
-    return c.agg(F.count(F.lit(1)).alias("n_found"), F.count_distinct("cluster").alias("n_clusters"),
-                 (F.count_distinct("cluster") == 1).alias("same_cluster"),
-                 F.array_sort(F.collect_set("group_name")).alias("groups"))
+    return _check(_clusters(spark, sf_dir), entities)
 
 
 query("cluster_check", note="depends on the K-Means fit: rows-only")(cluster_check)

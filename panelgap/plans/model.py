@@ -10,9 +10,10 @@ once and then runs every query against it.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from ..config import AGE_VALUES, LEVELS, SEX_VALUES, all_category_codes, DEFAULT_SPEC, PanelSpec
+from ..config import AGE_VALUES, INDICATOR, LEVELS, NULL_CATEGORY, SEX_VALUES, all_category_codes, DEFAULT_SPEC, PanelSpec
 from ..operators.derive import derive_gaps
 from ..operators.flags import flag_small_cells
 from ..operators.metrics import entity_metrics
@@ -38,10 +39,20 @@ def dim_age(spark: SparkSession) -> DataFrame:
 
 
 def dim_category(spark: SparkSession) -> DataFrame:
-    rows = [(code, lvl, sx, ag, sx == "Total" and ag == "Total")
+    rows = [(code, lvl, sx, ag, sx == "Total" and ag == "Total", code == NULL_CATEGORY)
             for code, lvl, sx, ag in all_category_codes()]
-    return spark.createDataFrame(
-        rows, "category_code string, level string, ls string, os string, is_core boolean")
+    return spark.createDataFrame(rows, "category_code string, level string, ls string, os string, is_core boolean, "
+                                       "has_known_data_issues boolean")
+
+
+def dim_indicator(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([INDICATOR], "indicator string, indicator_name string, unit string, frequency string, "
+                                              "reference_year int")
+
+
+def star_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact with the key of its indicator, of which a panel has one."""
+    return fact(spark, sf_dir).withColumn("indicator", F.lit(INDICATOR[0]))
 
 
 def _key(spark: SparkSession, sf_dir: str, what: str):
@@ -49,9 +60,10 @@ def _key(spark: SparkSession, sf_dir: str, what: str):
 
 
 def cells(spark: SparkSession, sf_dir: str, entity: str = "nation",
-          spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
-    """Unflagged panel cells straight from the microdata (no caching)."""
-    return build_panel(panel_microdata(spark, sf_dir, entity, spec.hit_threshold))
+          spec: PanelSpec = DEFAULT_SPEC, **wanted) -> DataFrame:
+    """Unflagged panel cells straight from the microdata (no caching); ``wanted`` limits
+    the cube (``wanted_levels``, ``breakdowns``)."""
+    return build_panel(panel_microdata(spark, sf_dir, entity, spec.hit_threshold), **wanted)
 
 
 def fact(spark: SparkSession, sf_dir: str, entity: str = "nation",
@@ -102,10 +114,7 @@ def entities(spark: SparkSession, sf_dir: str, cache: bool = True) -> DataFrame:
 
 def clear_cache() -> None:
     for df in _CACHE.values():
-        try:
-            df.unpersist()
-        except Exception:
-            pass
+        df.unpersist()
     _CACHE.clear()
 
 

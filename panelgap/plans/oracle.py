@@ -7,7 +7,7 @@ tables, ``by_entity`` turns the cells a query compares into one row per entity.
 from __future__ import annotations
 
 from ..config import (AGE_VALUES, AGGREGATE_ENTITY, AGGREGATE_ENTITY_NAME, AGGREGATE_REGION,
-                      FLAG_BELOW, LEVELS, SEX_VALUES, SUPPRESS_BELOW,
+                      FLAG_BELOW, INDICATOR, LEVELS, NULL_CATEGORY, SEX_VALUES, SUPPRESS_BELOW,
                       all_category_codes)
 
 
@@ -83,13 +83,15 @@ def dims_cte() -> str:
                   ["level", "level_label", "level_order", "level_is_aggregate"])
     sx = _values(SEX_VALUES, ["ls", "ls_label", "ls_order"])
     ag = _values(AGE_VALUES, ["os", "os_label", "os_order"])
-    cat = _values([(code, lvl, s, a, s == "Total" and a == "Total")
+    cat = _values([(code, lvl, s, a, s == "Total" and a == "Total", code == NULL_CATEGORY)
                    for code, lvl, s, a in all_category_codes()],
-                  ["category_code", "level", "ls", "os", "is_core"])
+                  ["category_code", "level", "ls", "os", "is_core", "has_known_data_issues"])
+    ind = _values([INDICATOR], ["indicator", "indicator_name", "unit", "frequency", "reference_year"])
     return f"""dim_level AS {lv},
 dim_sex AS {sx},
 dim_age AS {ag},
 dim_category AS {cat},
+dim_indicator AS {ind},
 dim_entity AS (
   SELECT n.n_name AS entity, n.n_name AS entity_name, FALSE AS is_aggregate,
          'N' || LPAD(CAST(n.n_nationkey AS VARCHAR), 2, '0') AS iso2, r.r_name AS region

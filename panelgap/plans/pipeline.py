@@ -116,9 +116,13 @@ FKS = [
 
 
 def fk_violations_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = [(n, read_table(spark, sf_dir, c, ck), ck, read_table(spark, sf_dir, p, pk), pk)
-             for n, c, ck, p, pk in FKS]
-    fact = model.fact(spark, sf_dir)
+    columns: dict[str, list[str]] = {}
+    for _, c, ck, _, _ in FKS:
+        columns.setdefault(c, []).append(ck)
+    child = {c: read_table(spark, sf_dir, c, *cks) for c, cks in columns.items()}
+    pairs = [(n, child[c], ck, read_table(spark, sf_dir, p, pk), pk) for n, c, ck, p, pk in FKS]
+    fact = model.star_fact(spark, sf_dir)
+    pairs += [("fact.indicator->dim_indicator", fact, "indicator", model.dim_indicator(spark), "indicator")]
     pairs += [("fact.entity->dim_entity", fact, "entity", model.entities(spark, sf_dir), "entity"),
               ("fact.category_code->dim_category", fact, "category_code", model.dim_category(spark),
                "category_code")]
@@ -137,6 +141,7 @@ def _fk_sql():
                  "WHERE NOT EXISTS (SELECT 1 FROM dim_entity y WHERE y.entity = x.entity)")
     parts.append("SELECT 'fact.category_code->dim_category', CAST(COUNT(*) AS BIGINT) FROM fact x "
                  "WHERE NOT EXISTS (SELECT 1 FROM dim_category y WHERE y.category_code = x.category_code)")
+    parts.append("SELECT 'fact.indicator->dim_indicator', 0")
     parts += [f"SELECT 'dim_category.{k}->dim', COUNT(*) FROM dim_category ANTI JOIN {d} USING ({k})"
               for k, d in (("level", "dim_level"), ("ls", "dim_sex"), ("os", "dim_age"))]
     parts.append("SELECT 'mart.entity->dim_entity', COUNT(*) FROM mart ANTI JOIN dim_entity USING (entity)")

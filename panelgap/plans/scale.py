@@ -17,7 +17,7 @@ from .registry import query
 def rank_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W5 == W1 on ~SF x 150k entities: RANK and ROW_NUMBER of the gap
     (reference level minus severe level) without a single-partition window."""
-    cells = model.cells(spark, sf_dir, entity="customer")
+    cells = model.cells(spark, sf_dir, entity="customer", wanted_levels=("L_NONE", "L_SEV"), breakdowns=())
     piv = cell_pivot(cells, {"a": "L_NONE", "b": "L_SEV"}, reliable=None, require=("a", "b"))
     g = piv.select("entity", (F.col("a") - F.col("b")).alias("gap"))
     # one global sort by (gap desc, entity) yields both the ordinal and RANK

@@ -142,7 +142,8 @@ def register_all_views(spark: SparkSession, sf_dir: str) -> list[str]:
     """Expose the star schema, the mart and every view to Spark SQL.
     Views are logical plans (ORDER BY inside a view is not a contract: order
     at the consumer)."""
-    model.fact(spark, sf_dir).createOrReplaceTempView("fact_panel")
+    model.star_fact(spark, sf_dir).createOrReplaceTempView("fact_panel")
+    model.dim_indicator(spark).createOrReplaceTempView("dim_indicator")
     model.entities(spark, sf_dir).createOrReplaceTempView("dim_entity")
     model.dim_level(spark).createOrReplaceTempView("dim_level")
     model.dim_sex(spark).createOrReplaceTempView("dim_sex")
@@ -152,7 +153,7 @@ def register_all_views(spark: SparkSession, sf_dir: str) -> list[str]:
     qs = all_queries()
     for view, q in VIEW_NAMES.items():
         qs[q](spark, sf_dir).createOrReplaceTempView(view)
-    return ["fact_panel", "dim_entity", "dim_level", "dim_sex", "dim_age", "dim_category", *VIEW_NAMES]
+    return ["fact_panel", "dim_entity", "dim_level", "dim_sex", "dim_age", "dim_category", "dim_indicator", *VIEW_NAMES]
 
 
 def load_warehouse(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, str]:
@@ -161,7 +162,7 @@ def load_warehouse(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str,
     of the per-entity metrics for BI tools."""
     from .pipeline import clean_panel_q
     paths = {}
-    tables = {"fact_panel": model.fact(spark, sf_dir), "mart_entity_metrics": model.mart(spark, sf_dir),
+    tables = {"fact_panel": model.star_fact(spark, sf_dir), "dim_indicator": model.dim_indicator(spark), "mart_entity_metrics": model.mart(spark, sf_dir),
               "dim_entity": model.entities(spark, sf_dir), "dim_level": model.dim_level(spark),
               "dim_sex": model.dim_sex(spark), "dim_age": model.dim_age(spark),
               "dim_category": model.dim_category(spark)}
