@@ -65,12 +65,14 @@ def place_cells(counts: dict[int, int], shards: int, slack: float = 0.0,
 def shard(docs: DataFrame, shards: int, doc_id: str = "doc_id", slack: float = 0.0) -> DataFrame:
     """Adds ``shard`` (0 to shards - 1) and ``slot`` (0, 1, ... without gaps in each shard).
 
-    The id alone places a key on the ring; rows with equal or null ids are neighbours
-    there, in the order of a hash of the other columns.  An empty table stays empty.
+    The id alone places a key on the ring; rows with equal ids are neighbours there, in
+    the order of a hash of all columns.  A row without an id is placed by that hash, so
+    many of them spread over the ring.  An empty table stays empty.
     Columns named like the new ones are replaced.
     """
     keep = [F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "slot")]
-    at = F.xxhash64(F.col(f"`{doc_id}`"))
+    key = F.col(f"`{doc_id}`")
+    at = F.when(key.isNull(), F.xxhash64(*keep)).otherwise(F.xxhash64(key))
     cell = F.shiftrightunsigned(at, 64 - CELL_BITS).cast("int")
     counts = {r["cell"]: r["n"] for r in docs.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()}
     # at most a row for each cell and for each place where a shard became full: a fixed bound
