@@ -8,12 +8,12 @@ bounded grid and exact neighbours can be found with equi-joins only:
    ``WindowGroupLimit`` caps each map task's output per profile, so a hot
    profile never travels whole);
 2. predictions are made per *distinct* test profile;
-3. each test profile is expanded to the grid points of the box of radius R
-   around it (bounded by prod(min(2R+1, cardinality))) and equi-joined to the
-   reduced train set on the profile;
+3. the grid is cut into blocks of side R; each test profile is joined to the
+   train profiles of its own block and the adjacent ones (3 per feature,
+   whatever R is), so empty grid points are never generated;
 4. a profile is resolved when its k-th candidate is strictly closer than R+1
-   (every point outside the box is at least R+1 away) or the box already
-   covers the whole train domain; unresolved profiles retry with 2R.
+   (every point outside these blocks is at least R+1 away) or they already
+   cover the whole domain; unresolved profiles retry with 2R.
 
 Ties in distance are broken by the train key, the vote by the smaller label.
 """
@@ -35,6 +35,7 @@ def knn_predict(train: DataFrame, test: DataFrame, features: Sequence[str], k: i
     features = list(features)
     ensure_checkpoint_dir(train.sparkSession)
     t_cols = [f"_t{i}" for i in range(len(features))]
+    blocks = [f"_b{i}" for i in range(len(features))]
     reduced = top_k_per_group(train.select(*features, label, key), features, k, [F.col(key).asc()],
                               out="_kr").drop("_kr")
     # domain of the train and test codes: one row, O(#features) values
@@ -52,11 +53,13 @@ def knn_predict(train: DataFrame, test: DataFrame, features: Sequence[str], k: i
     resolved_parts = []
     r = max(1, radius)
     while True:
-        box = pending
+        box, placed = pending, reduced
         for i, t in enumerate(t_cols):
-            box = box.withColumn(features[i], F.explode(F.sequence(
-                F.greatest(F.col(t) - r, F.lit(lo[i])), F.least(F.col(t) + r, F.lit(hi[i])))))
-        cand = box.join(reduced, features)
+            own, first, last = F.floor(F.col(t) / r), lo[i] // r, hi[i] // r
+            near = F.filter(F.array(own - 1, own, own + 1), lambda b: b.between(first, last))
+            box = box.withColumn(blocks[i], F.explode(near))
+            placed = placed.withColumn(blocks[i], F.floor(F.col(features[i]) / r))
+        cand = box.join(placed, blocks)
         d2 = sum(((F.col(t) - F.col(f)) * (F.col(t) - F.col(f)) for t, f in zip(t_cols, features)),
                  F.lit(0))
         w = Window.partitionBy(*t_cols).orderBy(F.col("_d2").asc(), F.col(key).asc())
