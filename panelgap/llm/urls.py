@@ -96,11 +96,11 @@ def template_verdicts(labelled: DataFrame) -> DataFrame:
     for i in range(DEPTH):
         tree = _level(tree, i).checkpoint()
     tree = tree.withColumn("template", F.array_join("seg", "/"))
-    whole = tree.agg((F.sum("blk") / F.greatest(F.sum("lab"), F.lit(1))).alias("p0"))
+    overall = tree.agg((F.sum("blk") / F.greatest(F.sum("lab"), F.lit(1))).alias("p0")).scalar()
     own = tree.groupBy("host", "template").agg(F.sum("lab").alias("lab_h"), F.sum("blk").alias("blk_h"))
     # across hosts, templates are compared by form: merged branches have names of their own there too
-    every = (tree.groupBy("template").agg(F.sum("lab").alias("lab_t"), F.sum("blk").alias("blk_t")).crossJoin(F.broadcast(whole))
-             .select("template", ((F.col("blk_t") + PRIOR_WEIGHT * F.col("p0")) / (F.col("lab_t") + PRIOR_WEIGHT)).alias("p_t")))
+    every = (tree.groupBy("template").agg(F.sum("lab").alias("lab_t"), F.sum("blk").alias("blk_t"))
+             .select("template", ((F.col("blk_t") + PRIOR_WEIGHT * overall) / (F.col("lab_t") + PRIOR_WEIGHT)).alias("p_t")))
     purity = ((F.col("blk_h") + PRIOR_WEIGHT * F.col("p_t")) / (F.col("lab_h") + PRIOR_WEIGHT)).alias("purity")
     return (tree.join(own, ["host", "template"]).join(every, "template")
             .select("host", "raw", "template", purity))
