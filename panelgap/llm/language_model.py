@@ -1,19 +1,21 @@
 """Language-model scoring with a log-frequency Bloom filter (operator 9).
 
 Unigram and bigram counts of the training texts are quantised on a logarithmic
-scale, ``level = floor(log2(count / unit))``, and an n-gram of level ``l`` enters a
+scale, ``level = floor(log2(count / UNIT))``, and an n-gram of level ``l`` enters a
 Bloom filter as the keys (n-gram, 1) ... (n-gram, l).  Its level is read back by
 probing 1, 2, ... until one is absent, so an error only raises a level, one step
 with a small probability, two with its square.
 
-``unit = max(1, N * THETA)`` with N training tokens.  As ``floor(log2(x)) <= x / 2``,
-each order needs at most ``1 / (2 * THETA)`` keys whatever the corpus holds, which
-bounds the broadcast filter at ``BITS_PER_KEY / THETA`` bits (50 MB).
+``UNIT`` is a constant, and every n-gram of the training texts enters from its first
+occurrence on, whatever the size of the corpus.  The filter is split by hash range:
+each bucket of the packed exchange (``chunks``) builds the block of its own n-grams
+with ``BITS_PER_KEY`` bits a key and probes it there, so no task and no broadcast
+holds more than one block, and the blocks together grow with the corpus.
 
-Counting goes by packed exchange (``chunks``): a chunk of documents sends each
-bucket its distinct n-grams with their counts, so a frequent word costs a few bytes
-a chunk; the bucket sums them and answers with the totals of the words, from which
-the exact unigram baseline comes.
+A chunk of documents sends each bucket its distinct n-grams with their training
+counts, so a frequent word costs a few bytes a chunk; the bucket sums them and answers
+with the levels, and for the words with the totals, from which the exact unigram
+baseline comes.
 """
 
 from __future__ import annotations
@@ -29,10 +31,9 @@ from ..session import ensure_checkpoint_dir
 from . import chunks as C
 from .words import mix, word_hashes
 
-THETA = 2.0 ** -25
+#: Half an occurrence: a count of 1 is level 1, 2 and 3 are level 2, and so on.
+UNIT = 0.5
 BITS_PER_KEY, PROBES = 12, 6
-#: Bits of the filter that one task sets: the driver only joins the segments.
-SEGMENT = 1 << 20
 #: Weight of the bigram estimate in the mixture with the unigram estimate.
 BIGRAM_WEIGHT = 0.1
 END = np.uint64(0x5DEECE66D1234567)
@@ -46,6 +47,16 @@ class LogBloom:
     def __init__(self, bits: np.ndarray):
         self.bits, self.size = bits, 8 * len(bits)
 
+    @classmethod
+    def of(cls, keys: np.ndarray, level: np.ndarray) -> LogBloom:
+        """The filter that holds each key up to its level."""
+        bits = np.zeros(8 * -(-max(1, BITS_PER_KEY * int(level.sum())) // 8), bool)
+        for v in range(1, int(level.max(initial=0)) + 1):
+            own = keys[level >= v]
+            for i in range(PROBES):
+                bits[cls.place(own, v, i, len(bits))] = True
+        return cls(np.packbits(bits, bitorder="little"))
+
     @staticmethod
     def place(keys: np.ndarray, level: int, probe: int, size: int) -> np.ndarray:
         a = mix(keys + np.uint64(level * 0x9E3779B97F4A7C15 % (1 << 64)))
@@ -95,11 +106,11 @@ def _cut(h: np.ndarray, buckets: int) -> np.ndarray:
 
 def _chunk_counts(chunk: int, rows: pa.Table, starts: np.ndarray) -> pa.Table:
     """What a chunk tells each bucket: its words with their counts in training texts
-    (0 for a word of others), its training bigrams with theirs."""
+    and its bigrams with theirs (0 for one that only others have)."""
     tokens, docs = _tokens(rows.column("body").to_pylist())
     train = np.array(rows.column("train").to_pylist(), bool)[docs]
     words, n = C.tally(tokens, train.astype(np.uint64))
-    pairs, m = C.tally(_cut(_bigrams(tokens)[train], len(starts)))
+    pairs, m = C.tally(_cut(_bigrams(tokens), len(starts)), train.astype(np.uint64))
     out = []
     for kind, key, count in ((1, words, n), (2, pairs, m)):
         base = np.uint64(0)
@@ -110,12 +121,13 @@ def _chunk_counts(chunk: int, rows: pa.Table, starts: np.ndarray) -> pa.Table:
 
 
 _COUNTS = "kind int, bucket int, chunk long, keys binary, counts binary"
-_MERGED = _COUNTS + ", tokens long, types long, single long"
+_MERGED = "kind int, bucket int, chunk long, counts binary, levels binary, level int, types long, total long"
 
 
 def _merge(rows: pa.Table, starts: np.ndarray) -> pa.Table:
-    """A bucket's totals: to each chunk the totals of its words, and once the n-grams
-    that occur more than once (they may enter the filter) with the sums over all."""
+    """A bucket's answers: to each chunk the levels of its n-grams, read from the block of
+    the filter over this bucket, and the totals of its words; and once, without a chunk,
+    the training n-grams of each level and their occurrences."""
     kind, bucket = rows.column("kind")[0].as_py(), rows.column("bucket")[0].as_py()
     keys = [C.unpack(x) for x in rows.column("keys").to_pylist()]
     counts = [C.unpack_counts(x) for x in rows.column("counts").to_pylist()]
@@ -123,65 +135,22 @@ def _merge(rows: pa.Table, starts: np.ndarray) -> pa.Table:
     order = np.argsort(every, kind="stable")
     first = C.firsts(every[order])
     total = np.add.reduceat(np.concatenate(counts)[order], np.flatnonzero(first))
-    key = every[order][first]
-    out = []
-    if kind == 1:
-        answer = np.empty(len(every), np.uint64)
-        answer[order] = total[np.cumsum(first) - 1]
-        lo = 0
-        for chunk, own in zip(rows.column("chunk").to_pylist(), keys, strict=True):
-            out.append((0, bucket, chunk, None, C.pack_counts(answer[lo:lo + len(own)]), None, None, None))
-            lo += len(own)
-    again = total > 1
-    out.append((kind, bucket, None, C.pack(key[again] + starts[bucket]) if again.any() else None,
-                C.pack_counts(total[again]) if again.any() else None,
-                int(total.sum()), int((total > 0).sum()), int((total == 1).sum())))
+    key = _filter_key(every[order][first] + starts[bucket], kind)
+    level = np.where(total > 0, level_of(total, UNIT), 0)
+    read = LogBloom.of(key, level).levels(key).astype(np.uint64)
+    place = np.empty(len(every), np.int64)  # of each chunk's n-gram among the distinct ones
+    place[order] = np.cumsum(first) - 1
+    out, lo = [], 0
+    for chunk, own in zip(rows.column("chunk").to_pylist(), keys, strict=True):
+        at = place[lo:lo + len(own)]
+        out.append((kind, bucket, chunk, C.pack_counts(total[at]) if kind == 1 else None, C.pack_counts(read[at]),
+                    None, None, None))
+        lo += len(own)
+    for v in np.unique(level[level > 0]).tolist():
+        out.append((kind, bucket, None, None, None, v, int((level == v).sum()), int(total[level == v].sum())))
     return C.table(out, _MERGED)
 
 
-def _build_filter(repeated: DataFrame, unit: float) -> tuple[LogBloom, list]:
-    """The filter over n-grams of at least two units, and (kind, level, types, total) of all repeated ones."""
-
-    def by_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for kind, x in zip(b.column("kind").to_pylist(), b.column("counts").to_pylist(), strict=True):
-                count = C.unpack_counts(x)
-                level = level_of(count, unit)
-                out = [(kind, int(v), int((level == v).sum()), int(count[level == v].sum())) for v in np.unique(level)]
-                yield from C.table(out, "kind int, level int, types long, total long").to_batches()
-
-    stats = (repeated.mapInArrow(by_level, "kind int, level int, types long, total long")
-             .groupBy("kind", "level").agg(F.sum("types").alias("types"), F.sum("total").alias("total")).collect())
-    n_keys = sum(r["level"] * r["types"] for r in stats)
-    n_bits = -(-max(1, n_keys * BITS_PER_KEY) // SEGMENT) * SEGMENT
-
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for kind, x, y in zip(*(b.column(c).to_pylist() for c in ("kind", "keys", "counts")), strict=True):
-                level, key = level_of(C.unpack_counts(y), unit), _filter_key(C.unpack(x), kind)
-                at = [np.zeros(0, np.uint64)]
-                for v in range(1, int(level.max(initial=0)) + 1):
-                    at += [LogBloom.place(key[level >= v], v, i, n_bits) for i in range(PROBES)]
-                at = C.tally(np.concatenate(at))[0]
-                cut = np.searchsorted(at, np.arange(0, n_bits + 1, SEGMENT, dtype=np.uint64))
-                out = [(int(s), (at[cut[s]:cut[s + 1]] - np.uint64(s * SEGMENT)).astype("<u4").tobytes())
-                       for s in np.flatnonzero(np.diff(cut))]
-                yield from C.table(out, "segment int, blob binary").to_batches()
-
-    def fill(rows: pa.Table) -> pa.Table:
-        bits = np.zeros(SEGMENT, np.uint8)
-        for x in rows.column("blob").to_pylist():
-            bits[np.frombuffer(x, "<u4")] = 1
-        return C.table([(rows.column("segment")[0].as_py(), np.packbits(bits, bitorder="little").tobytes())],
-                      "segment int, blob binary")
-
-    whole = np.zeros(n_bits // 8, np.uint8)
-    for r in (repeated.mapInArrow(places, "segment int, blob binary").groupBy("segment")
-              .applyInArrow(fill, "segment int, blob binary").collect()):
-        whole[r["segment"] * SEGMENT // 8:(r["segment"] + 1) * SEGMENT // 8] = np.frombuffer(r["blob"], np.uint8)
-    return LogBloom(whole), stats
-
-
 def _filter_key(h: np.ndarray, kind: int) -> np.ndarray:
     return mix(h + np.uint64(kind))
 
@@ -212,45 +181,37 @@ def score_texts(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: st
 
     merged = (src.select("rid", "chunk", "body", "train").mapInArrow(count, _COUNTS)
               .groupBy("kind", "bucket").applyInArrow(lambda t: _merge(t, starts), _MERGED).checkpoint())
-    sums = {r["kind"]: r for r in merged.where("kind > 0").groupBy("kind").agg(
-        *[F.sum(c).alias(c) for c in ("tokens", "types", "single")]).collect()}
-    n, v = (int(sums[1][c]) if 1 in sums else 0 for c in ("tokens", "types"))
-    unit = max(1.0, n * THETA)
-    bloom, stats = _build_filter(merged.where("kind > 0 and keys is not null"), unit)
-    mean = _level_means(stats, {k: int(r["single"]) for k, r in sums.items()})
-    shared = docs.sparkSession.sparkContext.broadcast((bloom, mean, n, v))
+    stats = (merged.where("chunk is null").groupBy("kind", "level")
+             .agg(F.sum("types").alias("types"), F.sum("total").alias("total")).collect())
+    n, v = (sum(r[c] for r in stats if r["kind"] == 1) for c in ("total", "types"))
+    mean = _level_means(stats)
     kept = ["doc", *(f"c{i}" for i in range(len(carry)))]
     schema = ", ".join([*(f"{c} {src.schema[c].dataType.simpleString()}" for c in kept),
                         "n_tokens long, n_known long, base_score double, score double"])
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _score_chunk(left, right, kept, starts, *shared.value)
+        return _score_chunk(left, right, kept, starts, mean, n, v)
 
     scored = (src.select("chunk", "body", *kept).groupBy("chunk")
-              .cogroup(merged.where("kind = 0").select("chunk", "bucket", "counts").groupBy("chunk"))
+              .cogroup(merged.where("chunk is not null").select("chunk", "kind", "bucket", "counts", "levels").groupBy("chunk"))
               .applyInArrow(score, schema))
     return scored.select(F.col("doc").alias(doc_id), *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)],
                          "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-def _level_means(stats: list, single: dict[int, int]) -> dict[int, np.ndarray]:
-    """Mean count of each level by order.  Level 0 of the words holds all rare ones;
-    a bigram of level 0 counts as absent."""
+def _level_means(stats: list) -> dict[int, np.ndarray]:
+    """Mean count of each level by order; level 0 is absent from training."""
     out = {}
     for kind in (1, 2):
-        own = {r["level"]: (r["types"], r["total"]) for r in stats if r["kind"] == kind}
-        types, total = own.get(0, (0, 0))
-        own[0] = types + single.get(kind, 0), total + single.get(kind, 0)
-        mean = np.zeros(66)
-        for level in range(66):  # an absent level (a false probe) takes the mean of the one below
-            t, s = own.get(level, (0, 0))
-            mean[level] = s / t if t else (mean[level - 1] if level else 0.0)
+        own = {r["level"]: r["total"] / r["types"] for r in stats if r["kind"] == kind}
+        mean = np.zeros(80)
+        for level in range(1, 80):  # an empty level (a false probe) takes the mean of the one below
+            mean[level] = own.get(level, mean[level - 1])
         out[kind] = mean
-    out[2][0] = 0.0
     return out
 
 
-def _score_chunk(left, right, kept, starts, bloom, mean, n, v) -> pa.Table:
+def _score_chunk(left, right, kept, starts, mean, n, v) -> pa.Table:
     texts = left.column("body").to_pylist()
     tokens, docs = _tokens(texts)
     order = np.argsort(tokens, kind="stable")
@@ -258,16 +219,18 @@ def _score_chunk(left, right, kept, starts, bloom, mean, n, v) -> pa.Table:
     word = np.empty(len(tokens), np.int64)  # place of each token among the chunk's distinct words
     word[order] = np.cumsum(first) - 1
     keys = tokens[order][first]
-    count = np.zeros(len(keys))
-    answers = dict(zip(right.column("bucket").to_pylist(), right.column("counts").to_pylist(), strict=True))
+    pair, back = np.unique(_cut(_bigrams(tokens), len(starts)), return_inverse=True)
+    answers = {(k, b): (c, x) for k, b, c, x in zip(
+        *(right.column(c).to_pylist() for c in ("kind", "bucket", "counts", "levels")), strict=True)}
+    count, seen, joint = np.zeros(len(keys)), np.zeros(len(keys)), np.zeros(len(pair))
     for b, s in C.split(keys, starts):
-        count[s] = C.unpack_counts(answers[b])
+        count[s] = C.unpack_counts(answers[1, b][0])
+        seen[s] = mean[1][C.unpack_counts(answers[1, b][1])]
+    for b, s in C.split(pair, starts):
+        joint[s] = mean[2][C.unpack_counts(answers[2, b][1])]
+    joint = joint[back]
     whole = n + 0.5 * (v + 1)
     base = np.log10((count + 0.5) / whole)[word]
-    seen = mean[1][bloom.levels(_filter_key(keys, 1))]
-    pairs = _cut(_bigrams(tokens), len(starts))
-    pair, back = np.unique(pairs, return_inverse=True)
-    joint = mean[2][bloom.levels(_filter_key(pair, 2))][back]
     before = np.concatenate([[np.searchsorted(keys, END)], word[:-1]])
     p = BIGRAM_WEIGHT * np.minimum(1.0, joint / np.maximum(seen[before], 0.5)) \
         + (1 - BIGRAM_WEIGHT) * (seen[word] + 0.5) / whole

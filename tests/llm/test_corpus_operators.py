@@ -13,6 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from panelgap.llm import chunks as C
 from panelgap.llm import language_id, language_model, mixing, pii, quality, queries, sharding, simhash, urls
 from panelgap.llm.components import connected_components
 from panelgap.llm.decontaminate import MASKS, SIMILARITY, decontaminate, overlaps
@@ -460,6 +461,25 @@ def test_filter_gives_levels_with_few_errors():
     assert language_model.level_of(counts, 3.0).tolist() == [0, 0, 0, 0, 1, 1, 5]
 
 
+def test_each_training_ngram_is_held_whatever_the_corpus():
+    rng = np.random.default_rng(2)
+    starts, keys = np.array([0, 1 << 63], np.uint64), np.sort(rng.integers(0, 1 << 60, 4000).astype(np.uint64))
+    count = np.array([0, 1, 2, 3], np.uint64).repeat(1000)
+    count[-1] = 1 << 40  # one word is nearly the whole corpus: 32,768 times 2 ** 25 tokens
+    rows = C.table([(kind, 0, 7, C.pack(keys), C.pack_counts(count)) for kind in (1, 2)], language_model._COUNTS)
+    for kind in (1, 2):
+        out = language_model._merge(rows.slice(kind - 1, 1), starts).to_pylist()
+        stats = {r["level"]: (r["types"], r["total"]) for r in out if r["chunk"] is None}
+        assert stats == {1: (1000, 1000), 2: (1999, 1000 * 2 + 999 * 3), 41: (1, 1 << 40)}
+        answer = next(r for r in out if r["chunk"] == 7)
+        read, true = C.unpack_counts(answer["levels"]), np.where(count > 0, np.floor(np.log2(np.maximum(count, 1))) + 1, 0)
+        assert (read >= true).all() and (read[:1000] == 0).mean() > 0.98 and (read == true).mean() > 0.98
+        if kind == 1:
+            assert (C.unpack_counts(answer["counts"]) == count).all()
+    mean = language_model._level_means([{"kind": k, "level": 1, "types": 9, "total": 9} for k in (1, 2)])
+    assert all(mean[k][0] == 0 and mean[k][1] == 1 for k in (1, 2))
+
+
 # ---- 10 substring deduplication
 
 def brute_repeats(rows, window=13):
