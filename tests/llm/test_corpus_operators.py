@@ -183,6 +183,45 @@ def test_detector_adds_loose_forms_and_leaves_numbers_alone(spark):
         assert not any(det.spans(clean)[1].values())
 
 
+def test_detector_learns_where_the_corpus_holds_loose_forms(spark):
+    rng = random.Random(5)
+
+    def phone():
+        return f"({rng.randint(200, 999)}) {rng.randint(200, 999)}-{rng.randint(1000, 9999)}"
+
+    def name():
+        return "".join(rng.choices("abcdefgh", k=6))
+
+    def card(sep):
+        d = "4" + "".join(rng.choices("0123456789", k=14))
+        d = next(d + c for c in "0123456789" if pii._luhn_sum(d + c) % 10 == 0)
+        return sep.join(d[i:i + 4] for i in range(0, 16, 4))
+
+    made = []
+    for i in range(1200):
+        strict = (f"call +1 {phone()} or mail {name()}@{name()}.com pay {card(' ')} ok", "nothing here")[i % 2]
+        loose = f"call {phone()} or mail {name()} at {name()} dot com pay {card('  ')} ok"
+        clean = f"order {rng.randint(10**9, 10**10 - 1)} of 2021-{rng.randint(10, 12)}-{rng.randint(10, 28)} shipped"
+        made.append((i, f"{strict}; {loose}; {clean}"))
+    det = pii.fit(spark.createDataFrame(made, "doc_id long, text string").repartition(3, "doc_id"))
+    for text, kind in (("call (212) 555-0147 now", "phone"), ("mail abcdef at hgfedc dot com now", "email"),
+                       ("pay 4111  1111  1111  1111 now", "card")):
+        assert det.spans(text)[1][kind], kind
+    for clean in ("order 1219538112535 shipped", "order 2125550147 shipped", "on 2021-11-12 we met", "pay 4111  1111  1111  1112 now"):
+        assert not any(det.spans(clean)[1].values()), clean
+
+
+def test_only_broken_formats_are_negative():
+    def broken(text):
+        return [(k, pii.breaks_rule(text, k, a, b)) for k, a, b in pii.loose_candidates(text)]
+
+    for text in ("(212) 555-0147", "212-555-0147", "ann at host dot com", "4111  1111  1111  1111", "10 . 0 . 0 . 1"):
+        assert broken(text) and not any(x for k, x in broken(text) if not (k == "phone" and "." in text))
+    for text in ("2125550147", "2021-11-12", "4111  1111  1111  1112", "256 . 1 . 1 . 1", "1,2,3,4",
+                 "meet at 10 dot 30", "1.234.567", "a2125550147"):
+        assert broken(text) and all(x for _, x in broken(text)), text
+
+
 def test_pii_query_and_odd_rows(spark, odd, none, texts):
     rows = {r.doc_id: r for r in queries.op3_pii(spark, SF).collect()}
     for d, t in texts:
