@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from .decontaminate import MASKS, MAX_WINDOW, MIN_WINDOW, SIMILARITY
-from .urls import DEPTH, MANY_CHILDREN, PRIOR_WEIGHT, REJECT_AT, Z, UrlRule
+from .urls import MANY_CHILDREN, PRIOR_WEIGHT, REJECT_AT, Z, UrlRule
 
 WORD = r"[^\x20\x09-\x0D]+"
 BIGGEST = (1 << 63) - 1
+#: Segments that the SQL of the URL filter tells apart; the given pages have two or three.
+DEPTH = 4
 
 #: Words under a window that starts in a document with a smaller id too are gone.
 REPEATS_SQL = rf"""

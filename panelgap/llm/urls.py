@@ -7,19 +7,22 @@ label rates that do not differ significantly, are merged.  A template is rejecte
 the smoothed share of blocked urls among its labelled ones; the estimate of a host
 shrinks towards the same template on all hosts, that towards the whole table.
 Explicit rules come first.  All steps work on counts by (host, template).
+
+Every segment is told apart, however deep.  A round generalises one branching of each
+node: what all paths of a node share is skipped, and a node whose paths are equal is
+finished, so there are as many rounds as branchings on one path, not as segments.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-#: Segments told apart; what is deeper is one remainder.
-DEPTH = 4
 MANY_CHILDREN, Z, PRIOR_WEIGHT, REJECT_AT = 20, 1.96, 5.0, 0.7
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -54,19 +57,39 @@ def rule_for(host: Column, path: Column, rules: list[UrlRule]) -> tuple[Column,
 
 
 def raw_template(path: Column) -> Column:
-    """Segments of a path with numbers and hex ids generalised; what lies beneath ``DEPTH`` is one remainder."""
+    """Segments of a path with numbers and hex ids generalised."""
     parts = F.transform(F.split(path, "/"), lambda s: F.when(s.rlike("^[0-9a-f]{12,}$"), F.lit("<hex>"))
                         .otherwise(F.regexp_replace(s, "[0-9]+", "<n>")))
-    inner = F.slice(parts, 2, DEPTH)
-    return F.when(F.size(parts) > DEPTH + 1, F.concat(inner, F.array(F.lit("<more>")))).otherwise(inner)
+    return F.slice(parts, 2, F.size(parts))
+
+
+def _head(n: Column) -> Column:
+    return F.slice("seg", F.lit(1), n)
+
+
+def _tail(n: Column) -> Column:
+    """What follows the first ``n`` segments."""
+    return F.slice("seg", n + 1, F.size("seg"))
+
+
+def _next_branching(tree: DataFrame) -> DataFrame:
+    """Moves ``at``, the segments already generalised, past those that all templates of a
+    node share; null where there is nothing left to tell apart."""
+    at, up = F.col("at"), _head(F.col("at")).alias("up")
+    # the segments that the least and the greatest share, all share
+    step = F.array_position(F.zip_with("lo", "hi", lambda a, b: a.eqNullSafe(b)), False)
+    node = (tree.groupBy("host", up).agg(F.min(_tail(at)).alias("lo"), F.max(_tail(at)).alias("hi"))
+            .select("host", "up", F.when(step > 0, (step - 1).cast("int")).alias("step")))
+    return (tree.withColumn("up", _head(at)).join(node, ["host", "up"]).withColumn("at", at + F.col("step"))
+            .drop("up", "step"))
 
 
-def _level(tree: DataFrame, i: int) -> DataFrame:
-    """Generalises segment ``i`` of all templates: a wildcard under nodes with many rare
+def _level(tree: DataFrame) -> DataFrame:
+    """Generalises segment ``at`` of all templates: a wildcard under nodes with many rare
     children, and one branch for siblings that are alike."""
-    prefix = F.array_join(F.slice("seg", 1, i), "/") if i else F.lit("")
-    placed = tree.withColumn("up", prefix).withColumn("own", F.coalesce(F.get("seg", F.lit(i)), F.lit("")))
-    below = F.xxhash64(F.slice("seg", i + 2, DEPTH + 1))
+    at = F.col("at")
+    placed = tree.withColumn("up", _head(at)).withColumn("own", F.coalesce(F.get("seg", at), F.lit("")))
+    below = F.xxhash64(_tail(at + 1))
     child = (placed.groupBy("host", "up", "own", below.alias("b"))
              .agg(*[F.sum(c).alias(c) for c in ("n", "lab", "blk")])
              .groupBy("host", "up", "own").agg(*[F.sum(c).alias(c) for c in ("n", "lab", "blk")],
@@ -81,9 +104,8 @@ def _level(tree: DataFrame, i: int) -> DataFrame:
              .select("host", "up", "own", F.when(F.col("own") == "", "").when(wild, "*")
                      .when(F.coalesce(same, F.lit(False)), F.concat(F.lit("*"), F.hex("shape"))).otherwise(F.col("own")).alias("now")))
     return (placed.join(named, ["host", "up", "own"])
-            .withColumn("seg", F.when(F.size("seg") > i, F.concat(F.slice("seg", 1, i), F.array("now"),
-                                                                 F.slice("seg", i + 2, DEPTH + 1)))
-                        .otherwise(F.col("seg"))).drop("up", "own", "now"))
+            .withColumn("seg", F.when(F.size("seg") > at, F.concat("up", F.array("now"), _tail(at + 1)))
+                        .otherwise(F.col("seg"))).withColumn("at", at + 1).drop("up", "own", "now"))
 
 
 def template_verdicts(labelled: DataFrame) -> DataFrame:
@@ -92,10 +114,15 @@ def template_verdicts(labelled: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(labelled.sparkSession)
     tree = labelled.groupBy("host", "raw").agg(
         F.count(F.lit(1)).alias("n"), F.count("label").alias("lab"), F.count_if(F.col("label") == "block").alias("blk")
-    ).withColumn("seg", F.col("raw")).checkpoint()
-    for i in range(DEPTH):
-        tree = _level(tree, i).checkpoint()
-    tree = tree.withColumn("template", F.array_join("seg", "/"))
+    ).withColumn("seg", F.col("raw")).withColumn("at", F.lit(0)).checkpoint()
+    done = []
+    while True:
+        tree = _next_branching(tree).checkpoint()
+        done.append(tree.where("at is null"))
+        if tree.where("at is not null").isEmpty():
+            break
+        tree = _level(tree.where("at is not null")).checkpoint()
+    tree = reduce(DataFrame.unionByName, done).withColumn("template", F.array_join("seg", "/"))
     overall = tree.agg((F.sum("blk") / F.greatest(F.sum("lab"), F.lit(1))).alias("p0")).scalar()
     own = tree.groupBy("host", "template").agg(F.sum("lab").alias("lab_h"), F.sum("blk").alias("blk_h"))
     # across hosts, templates are compared by form: merged branches have names of their own there too

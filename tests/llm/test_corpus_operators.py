@@ -458,6 +458,21 @@ def test_templates_learn_from_labelled_urls(spark):
     assert len(out) > 100 and all((r.verdict == "block") == ("/spam/" in r.path) for r in out)
 
 
+def test_segments_are_told_apart_at_any_depth(spark):
+    deep = "/2024/05/12/section/x/y/"
+    rows = [(i, f"http://h.org{deep}{'spam' if i % 2 else 'news'}/{i}/x{i}.html") for i in range(200)]
+    rules = [urls.UrlRule("h.org", f"{deep}spam/{i}/", "block") for i in range(1, 60, 2)] \
+        + [urls.UrlRule("h.org", f"{deep}news/{i}/", "allow") for i in range(0, 60, 2)]
+    out = urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), rules).where("rule is null").collect()
+    assert len(out) > 100 and all((r.verdict == "block") == ("/spam/" in r.path) for r in out)
+    assert {r.template for r in out} == {f"<n>/<n>/<n>/section/x/y/{k}/<n>/x<n>.html" for k in ("spam", "news")}
+    # names beneath a long common way become a wildcard there, in a few rounds
+    names = ["".join(random.Random(i).choices("ghijklmnop", k=9)) for i in range(60)]
+    rows = [(i, "http://h.org/" + "a/" * 3000 + n) for i, n in enumerate(names)]
+    out = urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), [])
+    assert {r.template for r in out.select("template").collect()} == {"a/" * 3000 + "*"}
+
+
 def test_a_node_with_many_rare_children_becomes_a_wildcard(spark):
     names = ["".join(random.Random(i).choices("ghijklmnop", k=9)) for i in range(300)]
     rows = [(i, f"http://h.org/user/{n}") for i, n in enumerate(names)]
