@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 SMALL, LARGE = 1 << 16, 1 << 20
 ROWS = (2048, 64, 1)
 BUCKETS_PER_PARTITION = 4
+#: Bytes of text to a bucket at most: about 40 MB of 64-bit hashes, one a word.
+BUCKET_TEXT = 1 << 25
 
 
 def with_chunks(docs: DataFrame, text: str) -> DataFrame:
@@ -68,9 +70,11 @@ def table(rows: list[tuple], schema: str) -> pa.Table:
     return pa.table({n: pa.array(list(c), _ARROW[t]) for (n, t), c in zip(fields, cols, strict=True)})
 
 
-def bucket_count(df: DataFrame) -> int:
-    """Buckets of the hash space: the session's shuffle partitions set the size of one."""
-    return BUCKETS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def bucket_count(df: DataFrame, text: str) -> int:
+    """Buckets of the hash space: a few a shuffle partition, and as many more as the bytes
+    of all texts ask for, so that a bucket's size does not grow with the input."""
+    size = df.agg(F.sum(F.octet_length(F.col(f"`{text}`")).cast("long"))).first()[0] or 0
+    return max(BUCKETS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_TEXT))
 
 
 def bucket_starts(n: int) -> np.ndarray:

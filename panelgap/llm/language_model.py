@@ -170,7 +170,7 @@ def score_texts(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: st
     """
     ensure_checkpoint_dir(docs.sparkSession)
     carry = list(carry or [])
-    starts = C.bucket_starts(C.bucket_count(docs))
+    starts = C.bucket_starts(C.bucket_count(docs, text))
     src = C.with_chunks(docs.select(F.col(f"`{doc_id}`").alias("doc"), F.col(f"`{text}`").alias("body"),
                                     F.coalesce(train, F.lit(False)).alias("train"),
                                     *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)]), "body")

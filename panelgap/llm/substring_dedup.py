@@ -161,7 +161,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     null id is larger than any other.  Other columns are ignored.
     """
     block = (window + 1) // 2
-    starts = C.bucket_starts(C.bucket_count(docs))
+    starts = C.bucket_starts(C.bucket_count(docs, text))
     src = C.with_chunks(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc"),
                                     F.col(f"`{text}`").alias("body")), "body")
 

@@ -560,6 +560,20 @@ def test_repeats_match_brute_force(spark, odd, none, texts):
     assert remove_repeats(none).count() == 0
 
 
+def test_buckets_follow_the_bytes_of_the_texts(spark, docs, odd, none, texts, monkeypatch):
+    def results():
+        return (sorted(queries.op10_substring_dedup(spark, SF).collect()),
+                [(r.doc_id, r.n_known, round(r.base_score, 6)) for r in queries.op9_language_model(spark, SF).orderBy("doc_id").collect()])
+
+    least = C.BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = sum(len((t or "").encode()) for _, t in texts)
+    assert C.bucket_count(docs, "text") == C.bucket_count(none, "text") == least
+    few = results()
+    monkeypatch.setattr(C, "BUCKET_TEXT", size // (least + 50))
+    assert C.bucket_count(docs, "text") == -(-size // C.BUCKET_TEXT) >= least + 50
+    assert results() == few
+
+
 @pytest.mark.parametrize("window", [5, 8, 13])
 def test_random_repeats_match_brute_force(spark, window):
     rng = random.Random(window)
