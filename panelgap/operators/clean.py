@@ -131,6 +131,17 @@ def clean_panel(raw: DataFrame, entity_dim: DataFrame, codes: Sequence[str],
     return reorder_sort(df)
 
 
+def load_and_clean(raw: DataFrame, entity_names: DataFrame,
+                   level_labels: Mapping[str, str] = LEVEL_LABELS) -> DataFrame:
+    """The alternate preset.  No entity or category filter, flags not stripped (so
+    ``' u '`` stays reliable), reliability before the numeric coercion, labels of the
+    caller, no order.  An entity without a name in ``entity_names`` keeps its rows
+    with a null name."""
+    df = convert_types(handle_flags(select_rename(raw), trim=False))
+    df = decode_category(df, level_labels=level_labels)
+    return df.join(entity_names.select("entity", "entity_name"), "entity", "left").select(*CLEAN_COLUMNS)
+
+
 def profile_raw(raw: DataFrame, value: str = "OBS_VALUE", flag: str = "OBS_FLAG",
                 entity: str = "geo") -> tuple[DataFrame, DataFrame]:
     """(one-row profile: values that do not parse, distinct entities

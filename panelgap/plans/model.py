@@ -35,7 +35,11 @@ def dim_sex(spark: SparkSession) -> DataFrame:
 
 
 def dim_age(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(AGE_VALUES, "os string, os_label string, os_order int")
+    """The age axis is a status code here, so its bounds are null; a value of the category with
+    known issues has them too."""
+    issues = {age for code, _, _, age in all_category_codes() if code == NULL_CATEGORY}
+    return spark.createDataFrame([(c, lab, k, None, None, c in issues) for c, lab, k in AGE_VALUES],
+                                 "os string, os_label string, os_order int, age_min int, age_max int, has_data_issues boolean")
 
 
 def dim_category(spark: SparkSession) -> DataFrame:

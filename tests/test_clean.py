@@ -5,6 +5,7 @@ from pyspark.errors import AnalysisException
 
 from panelgap.operators import clean as C
 from panelgap.operators.expect import check_panel, raise_on_fail
+from panelgap.plans import model
 
 RAW_COLS = list(C.RAW_RENAME) + C.RAW_UNUSED
 
@@ -52,6 +53,28 @@ def test_clean_chain(spark):
     assert dict(out.dtypes)["year"] == "int" and dict(out.dtypes)["is_reliable"] == "boolean"
 
 
+def test_load_and_clean_keeps_all_rows_and_padded_flags(spark):
+    raw = raw_frame(spark, [("N1", "L_SEV", "55.0", " u "), ("N1", "GF_L_SEV", "54.0", "u"), ("ZZ", "L_NONE", "50.0", None),
+                            ("N2", "XX_L_NONE", None, None), ("N2", "L_NONE", ":", "")])
+    out = C.load_and_clean(raw, entity_dim(spark), {"L_SEV": "severe", "L_NONE": "none"})
+    rows = {(r.entity, r.category_code): r for r in out.collect()}
+    assert len(rows) == 5 and out.columns == C.CLEAN_COLUMNS
+    r = rows["N1", "L_SEV"]  # not stripped, so not the flag
+    assert (r.quality_flag, r.is_reliable, r.pct, r.level_label) == (" u ", True, 55.0, "severe")
+    r = rows["N1", "GF_L_SEV"]
+    assert (r.quality_flag, r.is_reliable, r.ls, r.entity_name) == ("u", False, "F", "name N1")
+    assert rows["ZZ", "L_NONE"].entity_name is None and rows["N2", "XX_L_NONE"].level_label == "XX_L_NONE"
+    assert rows["N2", "XX_L_NONE"].is_reliable is False
+    r = rows["N2", "L_NONE"]
+    assert (r.pct, r.quality_flag, r.is_reliable) == (None, None, True)
+
+
+def test_age_dimension_has_bounds_and_issues(spark):
+    rows = {r.os: r for r in model.dim_age(spark).collect()}
+    assert {k for k, r in rows.items() if r.has_data_issues} == {"F"}
+    assert all(r.age_min is None and r.age_max is None for r in rows.values()) and len(rows) == 4
+
+
 def test_malformed_value_order(spark):
     """D4: ':' becomes NULL; flagged unreliable by default, reliable in legacy order."""
     raw = raw_frame(spark, [("N1", "L_NONE", ":", None)])
