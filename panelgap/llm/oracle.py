@@ -103,3 +103,30 @@ judged AS (SELECT host, raw, (bh + {PRIOR_WEIGHT} * pt) / (lh + {PRIOR_WEIGHT})
            FROM leaf JOIN host USING (host, template) JOIN every USING (template))
 SELECT page_id, host, path, rule, coalesce(label, CASE WHEN purity >= {REJECT_AT} THEN 'block' ELSE 'allow' END) AS verdict
 FROM known JOIN judged USING (host, raw)"""
+
+
+#: Smoothed shares of every kept term in every group and language, priced against one another.
+DIVERGENCE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+w AS (SELECT rid, lang, source, unnest(ws) AS t FROM d),
+keep AS (SELECT lang, t, count(*) AS n FROM w GROUP BY ALL HAVING count(DISTINCT rid) >= 10),
+size AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM keep GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+cell AS (SELECT lang, source, t, count(*) AS n FROM w SEMI JOIN keep USING (lang, t) GROUP BY ALL),
+every AS (SELECT lang, source, t, coalesce(cell.n, 0)::HUGEINT AS n, keep.n::HUGEINT AS all_n
+          FROM g JOIN keep USING (lang) LEFT JOIN cell USING (lang, source, t)),
+share AS (SELECT lang, source, t, n, 1 + (1000000000 * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS p,
+                 1 + (1000000000 * (all_n + 2)) // (total + 2 * v) AS q FROM every JOIN size USING (lang)),
+apart AS (SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) AS value
+          FROM share x JOIN share y ON x.lang = y.lang AND x.t = y.t AND x.source <> y.source GROUP BY ALL),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+         FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+         LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, t AS item, (((p - q) * (p - q)) // (p + q))::BIGINT AS value
+         FROM share WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM (FROM pair UNION ALL FROM term)
+QUALIFY part = 'pair' OR rank <= 10"""

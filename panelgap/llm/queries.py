@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from ..sources.tables import read_table
 from . import pii
 from .decontaminate import overlaps
+from .divergence import divergence_audit
 from .language_id import identify
 from .language_model import score_texts
+from .licenses import PositionalIndex, Scanner, inverse_frequencies, notices, phrases, scan_licenses
 from .mixing import mix
-from .oracle import REPEATS_SQL, overlaps_sql, urls_sql
+from .oracle import DIVERGENCE_SQL, REPEATS_SQL, overlaps_sql, urls_sql
 from .quality import quality_report
 from .sharding import shard
 from .simhash import simhash_components
@@ -91,6 +93,27 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumnRenamed("kept", "kept_sha256"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_audit(read_table(spark, sf_dir, "documents", "lang", "source", "text"))
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's phrases come first in the index, so a find below their number is a base one."""
+    docs, base = read_table(spark, sf_dir, "documents", "doc_id", "text"), phrases()
+    index = PositionalIndex([*base, *notices()])
+    found = scan_licenses(docs, Scanner(index, inverse_frequencies(docs, index)))
+    ours = F.filter("found", lambda x: x["template"] < len(base))
+
+    def labels(hits: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(hits, lambda x: x["label"]))), ",")
+
+    starts = F.transform(ours, lambda x: x["first_word"])
+    return found.select("doc_id", "n_words", F.size(ours).cast("long").alias("n_base"),
+                        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+                        labels(ours).alias("base_labels"), labels(F.col("found")).alias("labels"),
+                        F.coalesce(F.array_max(F.transform("found", lambda x: x["share"])), F.lit(0.0)).alias("score"))
+
+
 #: Quality rules in DuckDB SQL: the measures of the contract and the rules of the cascade.
 QUALITY_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
@@ -122,10 +145,11 @@ FROM b"""
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality, op2_sharding, op3_pii, op4_decontaminate, op5_mixing,
-                                    op6_language_id, op7_simhash, op8_urls, op9_language_model, op10_substring_dedup)}
+                                    op6_language_id, op7_simhash, op8_urls, op9_language_model, op10_substring_dedup, op11_divergence,
+                                    op12_licenses)}
 
 
 def oracle_sql() -> dict[str, str]:
     """Only what SQL can say: the others rest on hash functions, fitted models or iteration."""
     return {"op1_quality": QUALITY_SQL, "op4_decontaminate": overlaps_sql(), "op8_urls": urls_sql(URL_RULES),
-            "op10_substring_dedup": REPEATS_SQL}
+            "op10_substring_dedup": REPEATS_SQL, "op11_divergence": DIVERGENCE_SQL}
