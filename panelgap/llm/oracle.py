@@ -130,3 +130,42 @@ SELECT lang, source, part, item, value,
        row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
 FROM (FROM pair UNION ALL FROM term)
 QUALIFY part = 'pair' OR rank <= 10"""
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+                                   for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+#: Trees as one list of digests a level; crc32 bit by bit, of which only the last bit matters.
+MERKLE_SQL = rf"""
+WITH RECURSIVE crc AS (
+  SELECT *, row_number() OVER () AS rid, doc_id::VARCHAR AS s,
+         list_reduce([4294967295::BIGINT] || flatten(list_transform(range(1, len(s) + 1), lambda i: [ord(s[i])::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+                     lambda c, x: xor(xor(c, x) >> 1, (xor(c, x) & 1) * 3988292384)) AS state FROM documents),
+d AS (SELECT rid, doc_id, source, {_leaf_sql("text")} AS leaf,
+             CASE WHEN coalesce(state & 1 = 1, false) THEN replace(text, chr(10), '') ELSE text END AS changed,
+             {_leaf_sql("changed")} AS other FROM crc),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM d),
+up(source, level, hs) AS (
+  SELECT source, 0, list(leaf ORDER BY place) FROM ranked GROUP BY source
+  UNION ALL
+  SELECT source, level + 1, list_transform(range(0, (len(hs) + 2) // 3), lambda i: sha256(array_to_string(hs[3 * i + 1:3 * i + 3], '')))
+  FROM up WHERE len(hs) > 1),
+sub AS (SELECT source, hs[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place FROM up WHERE len(hs) = 1),
+top(level, hs) AS (
+  SELECT 0, list(subroot ORDER BY place) FROM sub
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, (len(hs) + 2) // 3), lambda i: sha256(array_to_string(hs[3 * i + 1:3 * i + 3], '')))
+  FROM top WHERE len(hs) > 1),
+step AS (
+  SELECT rid, level, place // (3 ** level)::BIGINT AS pos, hs FROM ranked JOIN up ON ranked.source IS NOT DISTINCT FROM up.source WHERE len(hs) > 1
+  UNION ALL
+  SELECT rid, 1000 + level, sub.place // (3 ** level)::BIGINT, hs
+  FROM ranked JOIN sub ON ranked.source IS NOT DISTINCT FROM sub.source, top WHERE len(hs) > 1),
+side AS (SELECT rid, level, array_to_string(hs[pos // 3 * 3 + 1:pos], '') AS l, array_to_string(hs[pos + 2:pos // 3 * 3 + 3], '') AS r FROM step),
+proof AS (SELECT rid, list(l || '|' || r ORDER BY level) AS ps, string_agg(l || r, '' ORDER BY level) AS joined FROM side GROUP BY rid),
+done AS (SELECT doc_id, leaf, subroot, (SELECT hs[1] FROM top WHERE len(hs) = 1) AS root, sha256(coalesce(joined, '')) AS proof_sha256,
+                list_reduce([other] || coalesce(ps, []), lambda h, x: sha256(split_part(x, '|', 1) || h || split_part(x, '|', 2))) AS folded_root
+         FROM ranked JOIN sub ON ranked.source IS NOT DISTINCT FROM sub.source LEFT JOIN proof USING (rid))
+SELECT *, folded_root = root AS verified FROM done"""

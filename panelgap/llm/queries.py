@@ -14,8 +14,9 @@ from .divergence import divergence_audit
 from .language_id import identify
 from .language_model import score_texts
 from .licenses import PositionalIndex, Scanner, inverse_frequencies, notices, phrases, scan_licenses
+from .merkle import folded, leaf_hash, merkle_proofs, proof_digest
 from .mixing import mix
-from .oracle import DIVERGENCE_SQL, REPEATS_SQL, overlaps_sql, urls_sql
+from .oracle import DIVERGENCE_SQL, MERKLE_SQL, REPEATS_SQL, overlaps_sql, urls_sql
 from .quality import quality_report
 from .sharding import shard
 from .simhash import simhash_components
@@ -114,6 +115,18 @@ def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce(F.array_max(F.transform("found", lambda x: x["share"])), F.lit(0.0)).alias("score"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tampered leaf travels beside the original one and is folded through the same proof."""
+    cols = ("doc_id", "source", "lang", "n_chars", "text")
+    docs, first = read_table(spark, sf_dir, "documents", *cols), [F.col(c) for c in cols[:-1]]
+    tampered = F.when(id_crc_is("doc_id", 2, 0), F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    proofs = merkle_proofs(docs, "source", "doc_id", leaf_hash(*first, F.col("text")),
+                           carry={"tampered": leaf_hash(*first, tampered)})
+    return (proofs.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"),
+                          folded(F.col("tampered"), F.col("proof")).alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
 #: Quality rules in DuckDB SQL: the measures of the contract and the rules of the cascade.
 QUALITY_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
@@ -146,10 +159,10 @@ FROM b"""
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality, op2_sharding, op3_pii, op4_decontaminate, op5_mixing,
                                     op6_language_id, op7_simhash, op8_urls, op9_language_model, op10_substring_dedup, op11_divergence,
-                                    op12_licenses)}
+                                    op12_licenses, op13_merkle)}
 
 
 def oracle_sql() -> dict[str, str]:
     """Only what SQL can say: the others rest on hash functions, fitted models or iteration."""
     return {"op1_quality": QUALITY_SQL, "op4_decontaminate": overlaps_sql(), "op8_urls": urls_sql(URL_RULES),
-            "op10_substring_dedup": REPEATS_SQL, "op11_divergence": DIVERGENCE_SQL}
+            "op10_substring_dedup": REPEATS_SQL, "op11_divergence": DIVERGENCE_SQL, "op13_merkle": MERKLE_SQL}
