@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .columns import free_name
 from .words import mix, slices, word_hashes
 
 #: Token offsets that a seed reads.  Together they meet every overlap of 8 to 16
@@ -170,7 +171,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` without an overlap with a test item; columns as given."""
-    row = "_decontaminate_row"
+    row = free_name(docs, "row")
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
     hit = overlaps(numbered, benchmark, doc_id, text, row_id=row).select(row).distinct()
     return numbered.join(hit, row, "left_anti").drop(row)

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .columns import column, free_name
 from .quality import words
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -145,8 +146,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
 def mixed(docs: DataFrame, **parameters) -> DataFrame:
     """``docs``, a stored table, with each row repeated as often as the mix takes it; columns as given."""
-    row, times = "_mixing_row", "_mixing_times"
+    row, times = free_name(docs, "row"), free_name(docs, "times")
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
     taken = mix(numbered, carry=[row], **parameters).where("copies > 0").select(row, F.col("copies").alias(times))
     return (numbered.join(taken, row).withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+            .select(*[column(c) for c in docs.columns]))

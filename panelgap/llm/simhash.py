@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .columns import column, free_name
 from .components import connected_components
 
 SEGMENTS, WIDTH = 4, 16
@@ -128,9 +129,9 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     null ids come last); columns as given.  ``docs`` is a stored table: rows are told
     apart by their place in it."""
     ensure_checkpoint_dir(docs.sparkSession)
-    row = "_simhash_row"
+    row = free_name(docs, "row")
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
     fps = with_fingerprints(numbered, text, [doc_id, row], shingle_words).checkpoint()
-    best = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col(row).alias("row"))
+    best = F.struct(column(doc_id).isNull().alias("none"), column(doc_id).alias("id"), F.col(row).alias("row"))
     kept = _classes(fps, best, max_bits).select(F.col("best.row").alias(row)).distinct()
     return numbered.join(kept, row, "left_semi").drop(row)
