@@ -70,10 +70,15 @@ def table(rows: list[tuple], schema: str) -> pa.Table:
     return pa.table({n: pa.array(list(c), _ARROW[t]) for (n, t), c in zip(fields, cols, strict=True)})
 
 
-def bucket_count(df: DataFrame, text: str) -> int:
+def text_bytes(df: DataFrame, text: str) -> int:
+    """Bytes of all texts."""
+    return df.agg(F.sum(F.octet_length(F.col(f"`{text}`")).cast("long"))).first()[0] or 0
+
+
+def bucket_count(df: DataFrame, text: str, size: int | None = None) -> int:
     """Buckets of the hash space: a few a shuffle partition, and as many more as the bytes
     of all texts ask for, so that a bucket's size does not grow with the input."""
-    size = df.agg(F.sum(F.octet_length(F.col(f"`{text}`")).cast("long"))).first()[0] or 0
+    size = text_bytes(df, text) if size is None else size
     return max(BUCKETS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_TEXT))
 
 
