@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from .words import PIECE
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 _NO_TERM = re.compile(rb"[^a-z\x80-\xff]")
 #: Distinct (group, term) entries that a counting task holds before it sends them on.
-HELD_ENTRIES = 200_000
+HELD_ENTRIES = 400_000
 #: Terms of a language to a block, about.
 BLOCK_TERMS = 1 << 16
 #: Ids of the shorter array that are searched together in one stretch of the longer one.
@@ -50,18 +51,15 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[tuple, tuple[Counter, Counter]] = {}
 
     def flush() -> pa.RecordBatch:
-        cols: list[list] = [[], [], [], [], []]
-        for (lang, source), (n, df) in held.items():
-            cols[0] += [lang] * len(n)
-            cols[1] += [source] * len(n)
-            cols[2] += n.keys()
-            cols[3] += n.values()
-            cols[4] += map(df.__getitem__, n)
+        sizes = [len(n) for n, _ in held.values()]
+        group, size = pa.array(np.repeat(np.arange(len(sizes)), sizes)), sum(sizes)
+        of = [pa.array([g[i] for g in held], pa.string()).take(group) for i in (0, 1)]
+        words = pa.array(chain.from_iterable(n for n, _ in held.values()), pa.binary(), size=size)
+        counts = np.fromiter(chain.from_iterable(n.values() for n, _ in held.values()), np.int64, size)
+        docs = np.fromiter(chain.from_iterable(map(df.__getitem__, n) for n, df in held.values()), np.int64, size)
         held.clear()
-        return pa.RecordBatch.from_arrays(
-            [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()),
-             pa.array(cols[2], pa.binary()).cast(pa.string()), pa.array(cols[3], pa.int64()),
-             pa.array(cols[4], pa.int64())], ["lang", "source", "term", "n", "df"])
+        return pa.RecordBatch.from_arrays([*of, words.cast(pa.string()), pa.array(counts), pa.array(docs)],
+                                          ["lang", "source", "term", "n", "df"])
 
     entries = 0
     for b in batches:
@@ -178,6 +176,7 @@ def divergence_audit(docs: DataFrame, lang: str = "lang", source: str = "source"
     src = docs.select(read(lang).alias("lang"), read(source).alias("source"), F.col(f"`{text}`").alias("body"))
     same_term = Window.partitionBy("lang", "term")
     counted = (src.mapInArrow(_count_terms, "lang string, source string, term string, n long, df long")
+               .repartition("lang", "source", "term")  # merged in the task already: Spark need not try once more
                .groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df")))
     # a term's id is its first row's: unique, and the same for all sources, as they meet in one partition
     kept = (counted.repartition("lang", "term").withColumn("row", F.monotonically_increasing_id())

@@ -520,12 +520,16 @@ def test_each_training_ngram_is_held_whatever_the_corpus():
     starts, keys = np.array([0, 1 << 63], np.uint64), np.sort(rng.integers(0, 1 << 60, 4000).astype(np.uint64))
     count = np.array([0, 1, 2, 3], np.uint64).repeat(1000)
     count[-1] = 1 << 40  # one word is nearly the whole corpus: 32,768 times 2 ** 25 tokens
-    rows = C.table([(kind, 0, 7, C.pack(keys), C.pack_counts(count)) for kind in (1, 2)], language_model._COUNTS)
+    seen = count > 0
+    rows = C.table([(kind, 0, 7, C.pack(keys[seen]), C.pack_counts(count[seen])) for kind in (1, 2)], language_model._COUNTS)
     for kind in (1, 2):
-        out = language_model._merge(rows.slice(kind - 1, 1), starts).to_pylist()
-        stats = {r["level"]: (r["types"], r["total"]) for r in out if r["chunk"] is None}
+        out = language_model._block(rows.slice(kind - 1, 1), starts)
+        stats = {r["level"]: (r["types"], r["total"]) for r in out.to_pylist() if r["level"] is not None}
         assert stats == {1: (1000, 1000), 2: (1999, 1000 * 2 + 999 * 3), 41: (1, 1 << 40)}
-        answer = next(r for r in out if r["chunk"] == 7)
+        block = out.slice(0, 1).rename_columns([f"b_{c}" for c in out.column_names])
+        asked = C.table([(kind, 0, 7, C.pack(keys))], language_model._ASKED)
+        answer, = language_model._answer(asked, block, starts).to_pylist()
+        assert answer["chunk"] == 7
         read, true = C.unpack_counts(answer["levels"]), np.where(count > 0, np.floor(np.log2(np.maximum(count, 1))) + 1, 0)
         assert (read >= true).all() and (read[:1000] == 0).mean() > 0.98 and (read == true).mean() > 0.98
         if kind == 1:
