@@ -119,13 +119,8 @@ def tree_rules(ml: DataFrame, codes: Sequence[str], names: Sequence[str], max_de
     return spark.createDataFrame(lines, "line_no int, rule string")
 
 
-def profile_scores(ml: DataFrame, codes: Sequence[str], profiles: Sequence[tuple] | None = None) -> DataFrame:
-    """Random-forest probability of the positive class for the test rows, or for
-    the named ``profiles``, tuples of (entity, category_code)."""
-    rows = ml.where(F.col("is_test"))
-    if profiles is not None:
-        named = ml.sparkSession.createDataFrame(list(profiles), "entity string, category_code string")
-        rows = ml.join(F.broadcast(named), ["entity", "category_code"], "left_semi")
-    _, pred = fit_predict("random_forest", ml.where(~F.col("is_test")), rows, codes)
+def profile_scores(ml: DataFrame, codes: Sequence[str]) -> DataFrame:
+    """Random-forest probability of the positive class for the test rows (profiles of any kind: ``scoring``)."""
+    _, pred = fit_predict("random_forest", ml.where(~F.col("is_test")), ml.where(F.col("is_test")), codes)
     return pred.select("entity", "category_code", "label", "prediction",
                        vector_to_array("probability")[1].alias("prob_pos"))

@@ -116,10 +116,11 @@ def reorder_sort(df: DataFrame, cols: Sequence[str] = CLEAN_COLUMNS,
 
 
 def clean_panel(raw: DataFrame, entity_dim: DataFrame, codes: Sequence[str],
-                legacy_order: bool = False, trim: bool = True) -> DataFrame:
+                legacy_order: bool = False, trim: bool = True, sort: bool = True) -> DataFrame:
     """The cleaning chain.  ``legacy_order=True`` flags reliability before the
     numeric coercion (the reference's order: a malformed value becomes NULL
-    yet stays reliable); the default coerces first."""
+    yet stays reliable); the default coerces first.  Without ``sort`` the rows stay where
+    they are, for consumers that don't need their order or write them clustered."""
     df = select_rename(raw)
     df = filter_entities(df, entity_dim)
     df = filter_categories(df, codes)
@@ -128,7 +129,7 @@ def clean_panel(raw: DataFrame, entity_dim: DataFrame, codes: Sequence[str],
     else:
         df = handle_flags(convert_types(df), trim=trim)
     df = decode_category(df)
-    return reorder_sort(df)
+    return reorder_sort(df) if sort else df.select(*CLEAN_COLUMNS)
 
 
 def load_and_clean(raw: DataFrame, entity_names: DataFrame,

@@ -55,10 +55,14 @@ def check_panel(panel: DataFrame, entity_dim: DataFrame, category_dim: DataFrame
     ])
     dup = (panel.groupBy(entity, category).agg(F.count(F.lit(1)).alias("c"))
            .agg(F.coalesce(F.sum(F.when(F.col("c") > 1, F.col("c") - 1)), F.lit(0)).alias("dups")))
-    fk_e = panel.select(entity).join(entity_dim.select(entity), entity, "left_anti") \
-                .agg(F.count(F.lit(1)).alias("v"))
-    fk_c = panel.select(category).join(category_dim.select(category), category, "left_anti") \
-                .agg(F.count(F.lit(1)).alias("v"))
+    def orphans(key: str, dim: DataFrame) -> DataFrame:
+        """Rows whose key the dimension lacks: keys are counted map-side before they meet it."""
+        counts = panel.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        known = dim.select(key, F.lit(True).alias("hit")).distinct()
+        return (counts.join(known, key, "left").where("hit is null")
+                .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("v")))
+
+    fk_e, fk_c = orphans(entity, entity_dim), orphans(category, category_dim)
     schema = {f.name: f.dataType for f in panel.schema.fields}
     missing = [c for c in required if c not in schema]
     literal = spark.createDataFrame(

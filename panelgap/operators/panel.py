@@ -53,15 +53,16 @@ def pre_aggregate(micro: DataFrame, entity: str = "entity", raw_level: str = "rf
             .agg(F.count(F.lit(1)).alias("n"), F.sum(hit).cast("long").alias("hits")))
 
 
-def expand_cube(groups: DataFrame, entity: str = "entity", raw_level: str = "rf",
-                axes: Sequence[tuple[str, str]] = (("ls", SEX_PREFIX), ("os", AGE_PREFIX)),
-                level_map: Mapping[str, str] = RETURNFLAG_LEVEL,
-                aggregate_level: str | None = AGGREGATE_LEVEL,
-                aggregate_members: Sequence[str] = AGGREGATE_LEVEL_MEMBERS,
-                aggregate_entity: str | None = AGGREGATE_ENTITY,
-                total: str = TOTAL, wanted_levels: Sequence[str] | None = None,
-                breakdowns: Sequence[str] | None = None) -> DataFrame:
-    """Pre-aggregated groups -> cube cells (bounded Expand + one aggregation).
+def cell_rows(groups: DataFrame, measures: Sequence[str], entity: str = "entity", raw_level: str = "rf",
+              axes: Sequence[tuple[str, str]] = (("ls", SEX_PREFIX), ("os", AGE_PREFIX)),
+              level_map: Mapping[str, str] = RETURNFLAG_LEVEL,
+              aggregate_level: str | None = AGGREGATE_LEVEL,
+              aggregate_members: Sequence[str] = AGGREGATE_LEVEL_MEMBERS,
+              aggregate_entity: str | None = AGGREGATE_ENTITY,
+              total: str = TOTAL, wanted_levels: Sequence[str] | None = None,
+              breakdowns: Sequence[str] | None = None) -> DataFrame:
+    """Each pre-aggregated group once for every cell of the cube that it belongs to, with its
+    ``measures``: what any mergeable aggregate is then united from.
 
     ``wanted_levels`` and ``breakdowns`` (axes to break down by; none for the totals
     alone) limit the cube before it is expanded; the filter reaches the scan."""
@@ -86,14 +87,22 @@ def expand_cube(groups: DataFrame, entity: str = "entity", raw_level: str = "rf"
         sets.append(F.struct(*[(F.col(a) if a == keep else F.lit(total)).alias(a) for a in axis_cols]))
 
     expanded = (groups
-                .select(F.explode(ents).alias("_e"), raw_level, *axis_cols, "n", "hits")
-                .select("_e", F.explode(levels).alias("_l"), *axis_cols, "n", "hits"))
+                .select(F.explode(ents).alias("_e"), raw_level, *axis_cols, *measures)
+                .select("_e", F.explode(levels).alias("_l"), *axis_cols, *measures))
     if wanted_levels is not None:
         expanded = expanded.where(F.col("_l").isin(*wanted_levels))
-    expanded = (expanded
-                .select("_e", "_l", F.explode(F.array(*sets)).alias("_s"), "n", "hits")
-                .select(F.col("_e").alias(entity), F.col("_l").alias("level"),
-                        *[F.col(f"_s.{a}").alias(a) for a in axis_cols], "n", "hits"))
+    return (expanded
+            .select("_e", "_l", F.explode(F.array(*sets)).alias("_s"), *measures)
+            .select(F.col("_e").alias(entity), F.col("_l").alias("level"),
+                    *[F.col(f"_s.{a}").alias(a) for a in axis_cols], *measures))
+
+
+def expand_cube(groups: DataFrame, entity: str = "entity", raw_level: str = "rf",
+                axes: Sequence[tuple[str, str]] = (("ls", SEX_PREFIX), ("os", AGE_PREFIX)),
+                aggregate_entity: str | None = AGGREGATE_ENTITY, total: str = TOTAL, **limits) -> DataFrame:
+    """Pre-aggregated groups -> cube cells (bounded Expand + one aggregation); ``limits`` as in ``cell_rows``."""
+    axis_cols = [a for a, _ in axes]
+    expanded = cell_rows(groups, ["n", "hits"], entity, raw_level, axes, aggregate_entity=aggregate_entity, total=total, **limits)
     cells = (expanded.groupBy(entity, "level", *axis_cols)
              .agg(F.sum("n").cast("long").alias("n"), F.sum("hits").cast("long").alias("hits")))
     is_agg = (F.col(entity) == F.lit(aggregate_entity)) if aggregate_entity is not None else F.lit(False)

@@ -9,6 +9,10 @@ from . import scale as _s  # noqa: F401
 from . import dirty as _d  # noqa: F401
 from . import ml_queries as _m  # noqa: F401
 from . import views as _v  # noqa: F401
+from . import sql_surface as _sql  # noqa: F401
+from . import constraint_queries as _c  # noqa: F401
+from . import load_queries as _l  # noqa: F401
+from . import fine_queries as _f  # noqa: F401
 from .registry import REGISTRY
 
 

@@ -43,7 +43,7 @@ def dirty_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_panel(dirty_raw(spark, sf_dir), model.entities(spark, sf_dir), CODES).select(*COLUMNS)
+    return clean_panel(dirty_raw(spark, sf_dir), model.entities(spark, sf_dir), CODES, sort=False).select(*COLUMNS)
 
 
 _DIRTY = f"""
@@ -67,7 +67,7 @@ def expectations_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The checks on the cleaned export, and its keys before the filters (so that the
     foreign keys have something to find)."""
     raw = dirty_raw(spark, sf_dir).checkpoint()
-    clean = clean_panel(raw, model.entities(spark, sf_dir), CODES).checkpoint()
+    clean = clean_panel(raw, model.entities(spark, sf_dir), CODES, sort=False).checkpoint()
     entity_dim, category_dim = model.entities(spark, sf_dir), model.dim_category(spark)
     checks = check_panel(clean, entity_dim, category_dim, n_categories=len(CODES), allowed_null_categories=[NULL_CATEGORY])
     keys = raw.select(F.col("geo").alias("entity"), F.col("ind_type").alias("category_code"))

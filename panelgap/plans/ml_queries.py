@@ -11,7 +11,8 @@ from ..ml.cluster import kmeans_grid, kmeans_restarts, relabel_by_mean, silhouet
 from ..ml.evaluate import accuracy_by_group as acc_by_group
 from ..ml.evaluate import confusion, majority_baseline as majority, report
 from ..ml.knn import knn_predict as knn
-from ..ml.sample import CODES
+from ..ml.sample import CODES, FEATURES
+from ..ml.scoring import fit_scorer, score_profiles
 from ..ml.trees import compare_models, feature_importance as importances, profile_scores as scores
 from ..ml.trees import results_table, tree_rules as rules
 from . import model
@@ -261,8 +262,22 @@ PROFILES = (("NATION_3", "GF_L_SEV"), ("NATION_3", "GO_L_NONE"), ("NATION_0", "L
             ("NATION_12", "GF_L_LTD"))
 
 
+def _scorer(spark, sf_dir):
+    key = model._key(spark, sf_dir, "scorer")
+    if key not in model._CACHE:
+        ml = _ml(spark, sf_dir)
+        model._CACHE[key] = fit_scorer(ml, ml.where(~F.col("is_test")), FEATURES)
+    return model._CACHE[key]
+
+
 def named_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scores(_ml(spark, sf_dir), CODES, PROFILES)
+    """The profiles by their feature values; ``label`` is null where the sample lacks the cell."""
+    named = spark.createDataFrame(list(PROFILES), "entity string, category_code string")
+    axes = F.broadcast(model.dim_category(spark).select("category_code", "level", "ls", "os"))
+    known = _ml(spark, sf_dir).select("entity", "category_code", "label")
+    got = score_profiles(_scorer(spark, sf_dir), named.join(axes, "category_code", "left"))
+    return (got.join(known, ["entity", "category_code"], "left")
+            .select("entity", "category_code", "label", "prediction", "prob_pos"))
 
 
 query("named_profiles", note="MLlib fit: rows-only")(named_profiles)

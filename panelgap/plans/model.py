@@ -19,7 +19,7 @@ from ..operators.flags import flag_small_cells
 from ..operators.metrics import entity_metrics
 from ..operators.panel import build_panel
 from ..session import ensure_checkpoint_dir
-from ..sources.tables import entity_dim, panel_microdata
+from ..sources.tables import entity_dim, input_listing, panel_microdata
 
 _CACHE: dict = {}
 
@@ -55,12 +55,12 @@ def dim_indicator(spark: SparkSession) -> DataFrame:
 
 
 def star_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact with the key of its indicator, of which a panel has one."""
-    return fact(spark, sf_dir).withColumn("indicator", F.lit(INDICATOR[0]))
+    """The fact as it is loaded, with the key of its indicator."""
+    return fact(spark, sf_dir)
 
 
 def _key(spark: SparkSession, sf_dir: str, what: str):
-    return (spark.sparkContext.applicationId, sf_dir, what)
+    return (spark.sparkContext.applicationId, sf_dir, input_listing(spark, sf_dir), what)
 
 
 def cells(spark: SparkSession, sf_dir: str, entity: str = "nation",
@@ -81,8 +81,10 @@ def fact(spark: SparkSession, sf_dir: str, entity: str = "nation",
         return _CACHE[key]
     ensure_checkpoint_dir(spark)
     base = cells(spark, sf_dir, entity, spec)
+    # the indicator's key is written with the fact: as a literal it would fold the join on it into a
+    # constant, and the join into a nested loop
     df = derive_gaps(flag_small_cells(base, spec.suppress_below, spec.flag_below),
-                     ref_level=spec.ref_level, bench_entity=spec.aggregate_entity)
+                     ref_level=spec.ref_level, bench_entity=spec.aggregate_entity).withColumn("indicator", F.lit(INDICATOR[0]))
     if cache:
         # a checkpoint rather than a cache: queries then plan against a plain
         # scan instead of matching the whole flag/derive lineage every time
@@ -117,8 +119,9 @@ def entities(spark: SparkSession, sf_dir: str, cache: bool = True) -> DataFrame:
 
 
 def clear_cache() -> None:
-    for df in _CACHE.values():
-        df.unpersist()
+    for kept in _CACHE.values():
+        if isinstance(kept, DataFrame):
+            kept.unpersist()
     _CACHE.clear()
 
 

@@ -27,8 +27,8 @@ def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
                          model.dim_sex(spark), model.dim_age(spark), YEAR)
 
 
-def clean_panel_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_panel(raw_panel(spark, sf_dir), F.broadcast(model.entities(spark, sf_dir)), CODES)
+def clean_panel_q(spark: SparkSession, sf_dir: str, sort: bool = True) -> DataFrame:
+    return clean_panel(raw_panel(spark, sf_dir), F.broadcast(model.entities(spark, sf_dir)), CODES, sort=sort)
 
 
 _CLEAN_SQL = f"""
@@ -71,7 +71,7 @@ FROM fact"""))(raw_profile)
 def expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the cleaned panel is read by four check branches: materialise it once
     # (eagerly, so the branches do not race to compute it)
-    clean = clean_panel_q(spark, sf_dir).checkpoint(eager=True)
+    clean = clean_panel_q(spark, sf_dir, sort=False).checkpoint(eager=True)
     return check_panel(clean, model.entities(spark, sf_dir), model.dim_category(spark),
                        n_categories=len(CODES), allowed_null_categories=[NULL_CATEGORY],
                        required=CLEAN_COLUMNS)
@@ -99,8 +99,10 @@ checks AS (
             WHERE NOT EXISTS (SELECT 1 FROM dim_entity d WHERE d.entity = x.entity)
   UNION ALL SELECT 'E7_fk_category', CAST(COUNT(*) AS BIGINT) FROM clean x
             WHERE NOT EXISTS (SELECT 1 FROM dim_category d WHERE d.category_code = x.category_code)
-  UNION ALL SELECT 'E3_reliable_is_boolean', CAST(0 AS BIGINT)
-  UNION ALL SELECT 'E10_required_columns', CAST(0 AS BIGINT))
+  UNION ALL SELECT 'E3_reliable_is_boolean', CAST(COUNT(DISTINCT typeof(is_reliable)) FILTER (typeof(is_reliable) <> 'BOOLEAN') AS BIGINT) FROM clean
+  UNION ALL SELECT 'E10_required_columns', CAST({len(CLEAN_COLUMNS)} - COUNT(*) AS BIGINT)
+            FROM (SELECT UNNEST(json_keys(to_json(one))) AS name FROM (FROM clean LIMIT 1) one)
+            WHERE name IN ({', '.join(f"'{c}'" for c in CLEAN_COLUMNS)}))
 SELECT check_name, violations, CASE WHEN violations = 0 THEN 'pass' ELSE 'fail' END AS status FROM checks"""))(expectations)
 
 
@@ -141,7 +143,8 @@ def _fk_sql():
                  "WHERE NOT EXISTS (SELECT 1 FROM dim_entity y WHERE y.entity = x.entity)")
     parts.append("SELECT 'fact.category_code->dim_category', CAST(COUNT(*) AS BIGINT) FROM fact x "
                  "WHERE NOT EXISTS (SELECT 1 FROM dim_category y WHERE y.category_code = x.category_code)")
-    parts.append("SELECT 'fact.indicator->dim_indicator', 0")
+    parts.append("SELECT 'fact.indicator->dim_indicator', COUNT(*) FROM (SELECT (SELECT MIN(indicator) FROM dim_indicator) AS indicator FROM fact) "
+                 "ANTI JOIN dim_indicator USING (indicator)")
     parts += [f"SELECT 'dim_category.{k}->dim', COUNT(*) FROM dim_category ANTI JOIN {d} USING ({k})"
               for k, d in (("level", "dim_level"), ("ls", "dim_sex"), ("os", "dim_age"))]
     parts.append("SELECT 'mart.entity->dim_entity', COUNT(*) FROM mart ANTI JOIN dim_entity USING (entity)")
@@ -154,7 +157,7 @@ query("fk_violations", O.with_mart(_fk_sql()))(fk_violations_q)
 def range_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values outside [0, 100] plus min and max of the cleaned panel."""
     from ..operators.clean import range_report
-    return range_report(clean_panel_q(spark, sf_dir))
+    return range_report(clean_panel_q(spark, sf_dir, sort=False))
 
 
 query("range_report", O.with_fact("""

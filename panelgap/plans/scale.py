@@ -49,8 +49,8 @@ SELECT * FROM r WHERE rank <= 3""", entity="supplier"))(topk_per_entity)
 
 
 def panel_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cube maintained by Structured Streaming (stateful aggregation of a
-    line-item file stream joined to static orders); equals ``panel_build``."""
+    """The cube maintained by Structured Streaming (counts by order of every micro-batch, joined to
+    the orders when they are read); equals ``panel_build``."""
     from ..streaming.panel_stream import panel_from_stream
     return panel_from_stream(spark, sf_dir)
 

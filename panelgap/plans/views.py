@@ -4,15 +4,14 @@ views of the seed script, the mean-preset metrics (A5) and the warehouse load
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_SPEC as S
 from ..functions.exprs import diff, rnd
 from ..operators.metrics import cell_pivot, derived_metrics_mean
-from ..sources.sinks import write_csv, write_table
+from ..sources.sinks import write_one_csv
+from ..sources.warehouse import Warehouse
 from . import model
 from . import oracle as O
 from .queries import AGG, F_SEV, M_SEV, MID_SEV, OLD_SEV, REF, SEV, _total
@@ -157,22 +156,20 @@ def register_all_views(spark: SparkSession, sf_dir: str) -> list[str]:
 
 
 def load_warehouse(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, str]:
-    """Full-refresh load of the fact, the mart and the dimensions as
-    Parquet (doubles stored at 4 dp), plus CSV exports of the clean panel and
-    of the per-entity metrics for BI tools."""
+    """Full-refresh load of the fact, the mart and the dimensions as one
+    version of a ``Warehouse`` (doubles stored at 4 dp), plus CSV exports, one ordered file
+    each, of the clean panel and of the per-entity metrics for BI tools.  The folders of the
+    new version are returned; readers that must not miss a reload open the ``Warehouse``."""
     from .pipeline import clean_panel_q
-    paths = {}
     tables = {"fact_panel": model.star_fact(spark, sf_dir), "dim_indicator": model.dim_indicator(spark), "mart_entity_metrics": model.mart(spark, sf_dir),
               "dim_entity": model.entities(spark, sf_dir), "dim_level": model.dim_level(spark),
               "dim_sex": model.dim_sex(spark), "dim_age": model.dim_age(spark),
               "dim_category": model.dim_category(spark)}
-    for name, df in tables.items():
-        p = os.path.join(out_dir, name)
-        write_table(df, p, partition_by=("is_aggregate",) if name == "fact_panel" else ())
-        paths[name] = p
-    for name, df, order in (("export_clean_panel", clean_panel_q(spark, sf_dir), ("entity", "category_code")),
+    wh = Warehouse(spark, out_dir)
+    wh.load(tables, {"fact_panel": ["is_aggregate"]})
+    paths = {name: wh.folder(name) for name in tables}
+    for name, df, order in (("export_clean_panel", clean_panel_q(spark, sf_dir, sort=False), ("entity", "category_code")),
                             ("export_entity_metrics", model.mart(spark, sf_dir), (F.col("gap_total").desc(),))):
-        p = os.path.join(out_dir, name)
-        write_csv(df, p, order)
-        paths[name] = p
+        paths[name] = f"{wh.root}/{name}.csv"
+        write_one_csv(df, paths[name], order)
     return paths

@@ -8,6 +8,7 @@ scan by Catalyst.
 from __future__ import annotations
 
 import os
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataF
     return df.select(*cols) if cols else df
 
 
+def input_listing(spark: SparkSession, sf_dir: str) -> tuple:
+    """Name, size and time of change of every table under a folder, as its file system lists them:
+    what a result kept for the session is valid for.  One call; a table in a folder has the
+    time at which a file was last added to it or taken away."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found))
+
+
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Expose the source tables to Spark SQL under their own names."""
     for n in names:
@@ -35,8 +45,8 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
 
 
 def panel_microdata(spark: SparkSession, sf_dir: str, entity: str = "nation",
-                    hit_threshold: float = 20.0) -> DataFrame:
-    """One row per line item: (entity, rf, ls, os, hit).
+                    hit_threshold: float = 20.0, keys: Mapping[str, str] | None = None) -> DataFrame:
+    """One row per line item: (entity, rf, ls, os, hit), and line item columns of ``keys`` under their new name.
 
     ``entity`` chooses the entity axis: ``nation`` (25 values, FIXTURES B1),
     ``supplier`` or ``customer`` (the high-cardinality variants of B4).
@@ -48,8 +58,9 @@ def panel_microdata(spark: SparkSession, sf_dir: str, entity: str = "nation",
     orders grow with the data, so the broadcast decision is left to the
     optimizer's size estimate and AQE.
     """
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey", "l_quantity",
-                    "l_returnflag", "l_linestatus")
+    keys = keys or {}
+    li = read_table(spark, sf_dir, "lineitem", *dict.fromkeys(
+        ["l_orderkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", *keys]))
     orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus")
     hit = (F.col("l_quantity") > F.lit(hit_threshold)).cast("int")
     if entity == "nation":
@@ -70,7 +81,7 @@ def panel_microdata(spark: SparkSession, sf_dir: str, entity: str = "nation",
     else:
         raise ValueError(f"unknown entity axis {entity!r}")
     return j.select("entity", F.col("l_returnflag").alias("rf"), F.col("l_linestatus").alias("ls"),
-                    F.col("o_orderstatus").alias("os"), hit.alias("hit"))
+                    F.col("o_orderstatus").alias("os"), hit.alias("hit"), *[F.col(c).alias(n) for c, n in keys.items()])
 
 
 def entity_dim(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Incremental panel maintenance with Structured Streaming.
 
 New line-item files are folded in as they arrive.  Each micro-batch appends its counts
-by order key (a folder for each epoch, rewritten whole if the batch runs again), so the
-stream holds no state.  Orders join when the panel is read: line items whose order
+by order key (a folder for each epoch, renamed into place when it is whole, and replaced if the batch
+runs again), so the stream holds no state.  Orders join when the panel is read: line items whose order
 arrives later are counted from then on.
 """
 
@@ -27,6 +27,12 @@ def _orders_with_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(ce, orders.o_custkey == ce.c_custkey).select("o_orderkey", "o_orderstatus", "entity")
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The file system of a path, as Spark sees it, and the path in its terms."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def start_panel_stream(spark: SparkSession, sf_dir: str, out_dir: str, checkpoint: str,
                        lineitem_path: str | None = None, hit_threshold: float = 20.0,
                        files_per_trigger: int = 1, available_now: bool = True):
@@ -37,7 +43,8 @@ def start_panel_stream(spark: SparkSession, sf_dir: str, out_dir: str, checkpoin
         "l_orderkey", "l_quantity", "l_returnflag", "l_linestatus").schema
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
     src = path
-    if os.path.isfile(path):
+    file_system, where = _file_system(spark, path)
+    if file_system.getFileStatus(where).isFile():
         # a single file: the file source lists a folder or a glob, so watch the
         # folder through a glob matching this file name (and later arrivals
         # named like it)
@@ -46,10 +53,16 @@ def start_panel_stream(spark: SparkSession, sf_dir: str, out_dir: str, checkpoin
         reader = reader.option("basePath", d)
     li = (reader.parquet(src)
           .select("l_orderkey", "l_quantity", "l_returnflag", "l_linestatus"))
+
     def append(batch: DataFrame, epoch: int) -> None:
+        # readers skip names that begin with an underscore: an epoch appears when it is whole
+        draft, target = f"{out_dir}/_draft-{uuid.uuid4().hex}", f"{out_dir}/epoch={epoch}"
         (batch.groupBy("l_orderkey", F.col("l_returnflag").alias("rf"), F.col("l_linestatus").alias("ls"))
          .agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("l_quantity") > F.lit(hit_threshold)).cast("long")).alias("hits"))
-         .write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}"))
+         .write.parquet(draft))
+        files, there = _file_system(batch.sparkSession, target)
+        files.delete(there, True)  # of a run of this batch that was cut off after its rename
+        files.rename(_file_system(batch.sparkSession, draft)[1], there)
 
     w = li.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
