@@ -8,6 +8,7 @@ A text gets the language whose prototype has the largest cosine with it.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from .words import slices
 
+_SPACE = re.compile(r"\s")
 DIMENSION = 1024
 SLICE_CHARS = 1 << 20
 UNKNOWN = "und"
@@ -83,8 +85,35 @@ def _distinct(tri: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.stack([code[own // (n * n)], code[own // n % n], code[own % n]], 1), at
 
 
+def _cut(texts: list[str | None]) -> tuple[list[str | None], np.ndarray]:
+    """Texts in parts of about ``SLICE_CHARS`` characters, and the text of each part.  Parts end at white
+    space, which no trigram's middle is, so they have the trigrams of the whole text."""
+    parts, owner = [], []
+    for i, t in enumerate(texts):
+        lo = 0
+        while t is not None and len(t) - lo > SLICE_CHARS:
+            end = _SPACE.search(t, lo + SLICE_CHARS)
+            if end is None:
+                break
+            parts.append(t[lo:end.start()])
+            owner.append(i)
+            lo = end.end()
+        parts.append(t if t is None or not lo else t[lo:])
+        owner.append(i)
+    return parts, np.array(owner, np.int64)
+
+
 def text_vectors(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Sum of the trigram vectors of each text, and whether it has a letter."""
+    parts, owner = _cut(texts)
+    if len(parts) > len(texts):  # a long text: its parts' vectors are added up
+        out, has = np.zeros((len(texts), DIMENSION), np.float32), np.zeros(len(texts), bool)
+        for s in slices(parts, SLICE_CHARS):
+            for i, p in zip(owner[s].tolist(), parts[s], strict=True):
+                v, letter = text_vectors([p])
+                out[i] += v[0]
+                has[i] |= letter[0]
+        return out, has
     tri, doc, has = _trigrams(texts)
     out = np.zeros((len(texts), DIMENSION), np.float32)
     if len(tri):
@@ -99,7 +128,8 @@ def text_vectors(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list[str], np.ndarray]:
     """The languages in ascending order and their prototypes of unit length.  Rows with a
-    null text or language teach nothing."""
+    null text or language teach nothing; repeated rows count as often as they occur.  A long text is
+    worked through in parts, so memory follows ``SLICE_CHARS``, not the text."""
     src = docs.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("body")).where(
         "lang is not null and body is not null")
 
@@ -109,14 +139,16 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list
             langs, texts = np.array(b.column("lang").to_pylist(), object), b.column("body").to_pylist()
             for s in slices(texts, SLICE_CHARS):
                 for name in sorted(set(langs[s])):
-                    tri, _, _ = _trigrams([t for t, x in zip(texts[s], langs[s], strict=True) if x == name])
-                    if not len(tri):
-                        continue
-                    kind, at = _distinct(tri)
-                    count, v = np.bincount(at, minlength=len(kind)).astype(np.float64), np.zeros(DIMENSION)
-                    for lo in range(0, len(kind), 8192):
-                        v += count[lo:lo + 8192] @ _vectors(kind[lo:lo + 8192]).astype(np.float64)
-                    total[name] = total.get(name, 0) + v
+                    parts, _ = _cut([t for t, x in zip(texts[s], langs[s], strict=True) if x == name])
+                    for part in slices(parts, SLICE_CHARS):
+                        tri, _, _ = _trigrams(parts[part])
+                        if not len(tri):
+                            continue
+                        kind, at = _distinct(tri)
+                        count, v = np.bincount(at, minlength=len(kind)).astype(np.float64), np.zeros(DIMENSION)
+                        for lo in range(0, len(kind), 8192):
+                            v += count[lo:lo + 8192] @ _vectors(kind[lo:lo + 8192]).astype(np.float64)
+                        total[name] = total.get(name, 0) + v
         if total:
             names = list(total)
             yield pa.RecordBatch.from_arrays(
