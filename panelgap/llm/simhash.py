@@ -24,6 +24,8 @@ from .components import connected_components
 
 SEGMENTS, WIDTH = 4, 16
 SHINGLE_SEED = 42
+#: Fingerprints that one task turns into index and probe rows, about.
+ROWS_TO_EXPLODE = 25_000
 
 
 def fingerprint(text: str | None, shingle_words: int = 3) -> bytes:
@@ -100,7 +102,9 @@ def links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
 def _classes(fps: DataFrame, best: Column, max_bits: int) -> DataFrame:
     """``fps(fp, ...)`` -> ``(fp, best)``: for every distinct fingerprint the least ``best`` in its component."""
     nodes = fps.groupBy("fp").agg(F.min(best).alias("low"))
-    roots = connected_components(links(nodes.select("fp"), max_bits))
+    # a fingerprint is eight bytes here but some thirty rows in the index and the probes: partitions by rows
+    parts = max(fps.sparkSession.sparkContext.defaultParallelism, -(-fps.count() // ROWS_TO_EXPLODE))
+    roots = connected_components(links(nodes.select("fp").repartition(parts, "fp"), max_bits))
     joined = nodes.join(roots, nodes.fp == roots.node, "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root"))
     low = joined.groupBy("root").agg(F.min("low").alias("best"))
