@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 from .decontaminate import MASKS, MAX_WINDOW, MIN_WINDOW, SIMILARITY
-from .urls import MANY_CHILDREN, PRIOR_WEIGHT, REJECT_AT, Z, UrlRule
+from .urls import MANY_CHILDREN, PRIOR_WEIGHT, REJECT_AT, STEM, Z, UrlRule
 
 WORD = r"[^\x20\x09-\x0D]+"
 BIGGEST = (1 << 63) - 1
-#: Segments that the SQL of the URL filter tells apart; the given pages have two or three.
-DEPTH = 4
 
 #: Words under a window that starts in a document with a smaller id too are gone.
 REPEATS_SQL = rf"""
@@ -58,22 +56,35 @@ SELECT doc_id, item_id, first_word, n_words, n_equal FROM best
 QUALIFY row_number() OVER (PARTITION BY d, b ORDER BY n_equal DESC, n_words DESC, first_word) = 1"""
 
 
-def _level_sql(i: int) -> str:
-    """Templates after segment ``i`` is generalised, from those before."""
-    return rf"""
-p{i} AS (SELECT *, coalesce(array_to_string(seg[1:{i}], '/'), '') AS up, coalesce(seg[{i + 1}], '') AS own, seg[{i + 2}:] AS below FROM t{i}),
-c{i} AS (SELECT host, up, own, sum(n) AS n, sum(lab)::DOUBLE AS lab, sum(blk)::DOUBLE AS blk,
-                list_sort(list(DISTINCT len(below) || ':' || coalesce(array_to_string(below, '/'), ''))) AS shape
-         FROM p{i} GROUP BY ALL),
-k{i} AS (SELECT host, up, shape, count(*) AS kin, sum(blk) / sum(lab) AS rate FROM c{i} WHERE lab > 0 GROUP BY ALL),
-m{i} AS (SELECT host, up, own,
-                CASE WHEN own = '' THEN ''
-                     WHEN count(*) OVER siblings > {MANY_CHILDREN} AND count(*) OVER siblings * 2 > sum(n) OVER siblings THEN '*'
-                     WHEN lab > 0 AND kin > 1 AND abs(blk / lab - rate) <= {Z}::DOUBLE * sqrt(rate * (1 - rate) / lab)
-                     THEN '*' || md5(shape::VARCHAR) ELSE own END AS now
-         FROM c{i} LEFT JOIN k{i} USING (host, up, shape) WINDOW siblings AS (PARTITION BY host, up)),
-t{i + 1} AS (SELECT host, raw, n, lab, blk, CASE WHEN len(seg) > {i} THEN seg[1:{i}] || [now] || below ELSE seg END AS seg
-             FROM p{i} JOIN m{i} USING (host, up, own))"""
+#: One level of the template tree: the templates after segment ``lv`` is generalised, from those before.
+#: Half a row is added to each form of a node before shapes are compared.
+_LEVEL_SQL = rf"""
+    WITH p AS (SELECT *, coalesce(array_to_string(seg[1:lv], '/'), '') AS up, coalesce(seg[lv + 1], '') AS own, seg[lv + 2:] AS below FROM t),
+    f AS (SELECT host, up, own, array_to_string(list_transform(below, lambda s:
+                   regexp_replace(replace(replace(s, '<hex>', '1'), '<n>', '0'), '[^01._~-]+', 'w', 'g')), '/') AS form,
+                 sum(n) AS n, sum(lab) AS lab, sum(blk) AS blk FROM p GROUP BY ALL),
+    c AS (SELECT host, up, own, left(own, {STEM}) AS stem, sum(n)::DOUBLE AS n, sum(lab)::DOUBLE AS lab, sum(blk)::DOUBLE AS blk FROM f GROUP BY ALL),
+    wild AS (SELECT host, up FROM c GROUP BY ALL HAVING count(*) > {MANY_CHILDREN} AND count(*) * 2 > sum(n)),
+    known AS (SELECT *, blk * 2 >= lab AS side FROM c WHERE lab > 0 AND own <> ''),
+    pool AS (SELECT host, up, side, sum(blk) / sum(lab) AS rate, sum(n) AS total FROM known GROUP BY ALL),
+    stems AS (SELECT host, up, side, stem, count(*) AS alike FROM known GROUP BY ALL),
+    seen AS (SELECT host, up, side, form, sum(f.n)::DOUBLE AS seen FROM f JOIN known USING (host, up, own) GROUP BY ALL),
+    kinds AS (SELECT host, up, count(DISTINCT form) AS kinds FROM f GROUP BY ALL),
+    fits AS (SELECT host, up, own, stem, side, kinds, round(sum(f.n * f.n / (c.n * (coalesce(seen, 0) + 0.5) / (total + 0.5 * kinds))) - c.n, 6) AS far
+             FROM c JOIN pool USING (host, up) JOIN f USING (host, up, own) JOIN kinds USING (host, up) LEFT JOIN seen USING (host, up, side, form)
+             WHERE own <> '' AND (c.lab = 0 OR ((c.blk * 2 >= c.lab) = side AND abs(c.blk / c.lab - rate) <= {Z}::DOUBLE * sqrt(rate * (1 - rate) / c.lab)))
+             GROUP BY host, up, own, stem, side, kinds, c.n
+             HAVING round(sum(f.n * f.n / (c.n * (coalesce(seen, 0) + 0.5) / (total + 0.5 * kinds))) - c.n, 6)
+                    <= greatest(kinds - 1, 1) + {Z}::DOUBLE * sqrt(2.0 * greatest(kinds - 1, 1))),
+    ordered AS (SELECT host, up, own, side, rank() OVER (PARTITION BY host, up, own ORDER BY coalesce(alike, 0) DESC, far) AS place
+                FROM fits LEFT JOIN stems USING (host, up, side, stem)),
+    chosen AS (SELECT host, up, own, any_value(side) AS side FROM ordered WHERE place = 1 GROUP BY host, up, own HAVING count(*) = 1),
+    kin AS (SELECT host, up, side FROM chosen GROUP BY ALL HAVING count(*) > 1),
+    merged AS (SELECT host, up, own, IF(side, '*block', '*allow') AS to_name FROM chosen SEMI JOIN kin USING (host, up, side)),
+    m AS (SELECT host, up, own, CASE WHEN own = '' THEN '' WHEN wild.host IS NOT NULL THEN '*' ELSE coalesce(to_name, own) END AS now
+          FROM c LEFT JOIN wild USING (host, up) LEFT JOIN merged USING (host, up, own))
+    SELECT lv + 1, host, raw, CASE WHEN len(seg) > lv THEN seg[1:lv] || [now] || below ELSE seg END, n, lab, blk
+    FROM p JOIN m USING (host, up, own) WHERE lv < (SELECT max(len(raw)) FROM t)"""
 
 
 def urls_sql(rules: list[UrlRule]) -> str:
@@ -82,19 +93,20 @@ def urls_sql(rules: list[UrlRule]) -> str:
     fits = [f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')" for r in longest]
     rule = " ".join(f"WHEN {f} THEN '{r.text}'" for f, r in zip(fits, longest, strict=True))
     label = " ".join(f"WHEN rule = '{r.text}' THEN '{r.verdict}'" for r in longest)
-    levels = ",".join(_level_sql(i) for i in range(DEPTH))
     return rf"""
-WITH u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''),
+WITH RECURSIVE u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''),
                                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
                   coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 r AS (SELECT *, CASE {rule} END AS rule, list_transform(string_split(path, '/'),
         lambda s: CASE WHEN regexp_matches(s, '^[0-9a-f]{{12,}}$') THEN '<hex>' ELSE regexp_replace(s, '[0-9]+', '<n>', 'g') END) AS parts
       FROM u),
 known AS (SELECT *, CASE {label} END AS label,
-                 parts[2:{DEPTH + 1}] || CASE WHEN len(parts) > {DEPTH + 1} THEN ['<more>'] ELSE [] END AS raw FROM r),
-t0 AS (SELECT host, raw, raw AS seg, count(*) AS n, count(label) AS lab, count(*) FILTER (WHERE label = 'block') AS blk
-       FROM known GROUP BY ALL),{levels},
-leaf AS (SELECT *, coalesce(array_to_string(seg, '/'), '') AS template FROM t{DEPTH}),
+                 parts[2:] AS raw FROM r),
+t(lv, host, raw, seg, n, lab, blk) AS (
+  SELECT 0, host, raw, raw, count(*), count(label), count(*) FILTER (WHERE label = 'block') FROM known GROUP BY host, raw
+  UNION ALL
+  SELECT * FROM ({_LEVEL_SQL})),
+leaf AS (SELECT *, coalesce(array_to_string(seg, '/'), '') AS template FROM t WHERE lv = (SELECT max(lv) FROM t)),
 whole AS (SELECT sum(blk)::DOUBLE / greatest(sum(lab), 1) AS p FROM leaf),
 every AS (SELECT template, (sum(blk)::DOUBLE + {PRIOR_WEIGHT} * (SELECT p FROM whole)) / (sum(lab)::DOUBLE + {PRIOR_WEIGHT}) AS pt
           FROM leaf GROUP BY template),

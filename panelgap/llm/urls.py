@@ -2,8 +2,13 @@
 
 Per host, the paths form a tree of segments.  Variable segments become wildcards
 (numbers and hex ids by their form, others where a node has many children seen about
-once), and sibling branches that are statistically alike, the same shapes below and
-label rates that do not differ significantly, are merged.  A template is rejected by
+once), and sibling branches that are statistically alike are merged.  The labelled
+branches of a node form at most two clusters, mostly blocked and mostly allowed; a branch
+belongs to one if its label rate doesn't differ significantly from the cluster's and if a
+chi-square test doesn't tell the shapes beneath it, the forms of the paths and how often
+they occur, from those of the cluster.  An unlabelled branch joins the cluster whose shapes
+it has; where it has those of both, the one with more names that begin like its own, then
+the nearer one, and none if they are equal.  A template is rejected by
 the smoothed share of blocked urls among its labelled ones; the estimate of a host
 shrinks towards the same template on all hosts, that towards the whole table.
 Explicit rules come first.  All steps work on counts by (host, template).
@@ -24,6 +29,8 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 MANY_CHILDREN, Z, PRIOR_WEIGHT, REJECT_AT = 20, 1.96, 5.0, 0.7
+#: Characters of a name that make it begin like another.
+STEM = 3
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -84,26 +91,62 @@ def _next_branching(tree: DataFrame) -> DataFrame:
             .drop("up", "step"))
 
 
+def _form(tail: Column) -> Column:
+    """What a path looks like: numbers, hex ids and names, whatever they are, and the marks between."""
+    def form(s: Column) -> Column:
+        s = F.regexp_replace(F.regexp_replace(s, "<hex>", "1"), "<n>", "0")
+        return F.regexp_replace(s, "[^01._~-]+", "w")
+
+    return F.array_join(F.transform(tail, form), "/")
+
+
+def _clusters(forms: DataFrame, child: DataFrame) -> DataFrame:
+    """(host, up, own, side) of the branches that are alike: ``forms`` has the rows of each branch by the form
+    of what is beneath it, ``child`` its sums.  ``side`` is true for the blocked cluster."""
+    node = ["host", "up"]
+    blocked = F.col("blk") * 2 >= F.col("lab")
+    named = child.where("own <> ''").withColumn("stem", F.substring("own", 1, STEM))
+    known = named.where("lab > 0").withColumn("side", blocked)
+    pool = known.groupBy(*node, "side").agg((F.sum("blk") / F.sum("lab")).alias("rate"), F.sum("n").alias("rows"))
+    stems = known.groupBy(*node, "side", "stem").agg(F.count(F.lit(1)).alias("alike"))
+    pool_forms = (forms.join(known.select(*node, "own", "side"), [*node, "own"])
+                  .groupBy(*node, "side", "form").agg(F.sum("n").alias("seen")))
+    kinds = forms.groupBy(*node).agg(F.count_distinct("form").alias("kinds"))
+    spread = Z * F.sqrt(F.col("rate") * (1 - F.col("rate")) / F.col("lab"))
+    may = (F.col("lab") == 0) | ((blocked == F.col("side")) & (F.abs(F.col("blk") / F.col("lab") - F.col("rate")) <= spread))
+    candidate = (named.join(pool, node).where(may).select(*node, "own", "stem", "side", F.col("n").alias("whole"), "rows"))
+    # chi-square of the branch's forms against the cluster's shares, half a row added to each form of the node
+    expected = F.col("whole") * (F.coalesce("seen", F.lit(0)) + 0.5) / (F.col("rows") + 0.5 * F.col("kinds"))
+    limit = F.greatest(F.col("kinds") - 1, F.lit(1))
+    fits = (candidate.join(forms.select(*node, "own", "form", "n"), [*node, "own"]).join(kinds, node)
+            .join(pool_forms, [*node, "side", "form"], "left")
+            .groupBy(*node, "own", "stem", "side", "whole", "kinds").agg(F.sum(F.col("n") * F.col("n") / expected).alias("s"))
+            .withColumn("far", F.round(F.col("s") - F.col("whole"), 6))
+            .where(F.col("far") <= limit + Z * F.sqrt(2.0 * limit)))
+    score = F.struct(F.coalesce("alike", F.lit(0)).alias("alike"), (-F.col("far")).alias("near"))
+    best = (fits.join(stems, [*node, "side", "stem"], "left").groupBy(*node, "own")
+            .agg(F.max(F.when(F.col("side"), score)).alias("b"), F.max(F.when(~F.col("side"), score)).alias("a")))
+    chosen = (best.withColumn("side", F.when(F.col("a").isNull() | (F.col("b") > F.col("a")), True)
+                              .when(F.col("b").isNull() | (F.col("a") > F.col("b")), False))
+              .where("side is not null").select(*node, "own", "side"))
+    kin = chosen.groupBy(*node, "side").agg(F.count(F.lit(1)).alias("kin")).where("kin > 1")
+    return chosen.join(kin, [*node, "side"]).select(*node, "own", "side")
+
+
 def _level(tree: DataFrame) -> DataFrame:
     """Generalises segment ``at`` of all templates: a wildcard under nodes with many rare
     children, and one branch for siblings that are alike."""
-    at = F.col("at")
+    at, node = F.col("at"), ["host", "up"]
     placed = tree.withColumn("up", _head(at)).withColumn("own", F.coalesce(F.get("seg", at), F.lit("")))
-    below = F.xxhash64(_tail(at + 1))
-    child = (placed.groupBy("host", "up", "own", below.alias("b"))
-             .agg(*[F.sum(c).alias(c) for c in ("n", "lab", "blk")])
-             .groupBy("host", "up", "own").agg(*[F.sum(c).alias(c) for c in ("n", "lab", "blk")],
-                                               F.bit_xor("b").alias("shape")))
-    node = child.groupBy("host", "up").agg(F.count(F.lit(1)).alias("children"), F.sum("n").alias("rows"))
-    alike = child.where("lab > 0").groupBy("host", "up", "shape").agg(
-        F.count(F.lit(1)).alias("kin"), (F.sum("blk") / F.sum("lab")).alias("rate"))
-    wild = (F.col("children") > MANY_CHILDREN) & (F.col("children") * 2 > F.col("rows"))
-    spread = Z * F.sqrt(F.col("rate") * (1 - F.col("rate")) / F.col("lab"))
-    same = (F.col("lab") > 0) & (F.col("kin") > 1) & (F.abs(F.col("blk") / F.col("lab") - F.col("rate")) <= spread)
-    named = (child.join(node, ["host", "up"]).join(alike, ["host", "up", "shape"], "left")
-             .select("host", "up", "own", F.when(F.col("own") == "", "").when(wild, "*")
-                     .when(F.coalesce(same, F.lit(False)), F.concat(F.lit("*"), F.hex("shape"))).otherwise(F.col("own")).alias("now")))
-    return (placed.join(named, ["host", "up", "own"])
+    sums = [F.sum(c).alias(c) for c in ("n", "lab", "blk")]
+    forms = placed.groupBy(*node, "own", _form(_tail(at + 1)).alias("form")).agg(*sums).checkpoint()
+    child = forms.groupBy(*node, "own").agg(*sums)
+    wild = (child.groupBy(*node).agg(F.count(F.lit(1)).alias("children"), F.sum("n").alias("rows"))
+            .where((F.col("children") > MANY_CHILDREN) & (F.col("children") * 2 > F.col("rows"))).select(*node, F.lit(True).alias("wild")))
+    named = (child.select(*node, "own").join(wild, node, "left").join(_clusters(forms, child), [*node, "own"], "left")
+             .select(*node, "own", F.when(F.col("own") == "", "").when(F.col("wild"), "*")
+                     .when(F.col("side"), "*block").when(~F.col("side"), "*allow").otherwise(F.col("own")).alias("now")))
+    return (placed.join(named, [*node, "own"])
             .withColumn("seg", F.when(F.size("seg") > at, F.concat("up", F.array("now"), _tail(at + 1)))
                         .otherwise(F.col("seg"))).withColumn("at", at + 1).drop("up", "own", "now"))
 
@@ -140,7 +183,8 @@ def filter_urls(pages: DataFrame, rules: list[UrlRule], page_id: str = "page_id"
 
     The urls that a rule decides are the labelled ones.  A null url, or one without
     ``://``, has an empty host and path, fits no rule and is judged by its template
-    like any other.  Repeated rows count as often as they occur.
+    like any other.  Repeated rows count as often as they occur; an empty table gives no rows;
+    other columns are not read, whatever their names.
     """
     u = F.col("url_")
     base = (pages.select(F.col(f"`{page_id}`").alias("id_"), F.col(f"`{url}`").alias("url_"))
