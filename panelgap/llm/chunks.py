@@ -24,6 +24,8 @@ ROWS = (2048, 64, 1)
 BUCKETS_PER_PARTITION = 4
 #: Bytes of text to a bucket at most: about 40 MB of 64-bit hashes, one a word.
 BUCKET_TEXT = 1 << 25
+#: Bytes of text to a partition of an exchange, about.
+PART_TEXT = 1 << 24
 
 
 def with_chunks(docs: DataFrame, text: str) -> DataFrame:
@@ -75,6 +77,11 @@ def text_bytes(df: DataFrame, text: str) -> int:
     return df.agg(F.sum(F.octet_length(F.col(f"`{text}`")).cast("long"))).first()[0] or 0
 
 
+def partitions(df: DataFrame, size: int) -> int:
+    """Partitions for an exchange of texts of ``size`` bytes: their size does not grow with the input."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-size // PART_TEXT))
+
+
 def bucket_count(df: DataFrame, text: str, size: int | None = None) -> int:
     """Buckets of the hash space: a few a shuffle partition, and as many more as the bytes
     of all texts ask for, so that a bucket's size does not grow with the input."""

@@ -41,8 +41,6 @@ BIGRAM_WEIGHT = 0.1
 END = np.uint64(0x5DEECE66D1234567)
 #: Bits of a bigram's hash that are kept beside its bucket; a bucket holds under a million n-grams.
 REST = 32
-#: Bytes of text to a partition of the exchanges, about.
-PART_TEXT = 1 << 24
 
 
 class LogBloom:
@@ -177,10 +175,6 @@ def _filter_key(h: np.ndarray, kind: int) -> np.ndarray:
     return mix(h + np.uint64(kind))
 
 
-def _parts(docs: DataFrame, size: int) -> int:
-    return max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // PART_TEXT))
-
-
 @dataclass(frozen=True)
 class StoredModel:
     """A fitted model under ``path``, a shared folder."""
@@ -219,7 +213,7 @@ def fit(docs: DataFrame, text: str = "text", path: str | None = None) -> StoredM
         for chunk, rows in C.whole_chunks(batches):
             yield from _chunk_counts(chunk, rows, starts).to_batches()
 
-    (src.select("rid", "chunk", "body").mapInArrow(count, _COUNTS).repartition(_parts(docs, size), "kind", "bucket")
+    (src.select("rid", "chunk", "body").mapInArrow(count, _COUNTS).repartition(C.partitions(docs, size), "kind", "bucket")
      .groupBy("kind", "bucket").applyInArrow(lambda t: _block(t, starts), _BLOCKS).write.parquet(f"{path}/blocks"))
     spark.createDataFrame([(buckets,)], "buckets int").write.parquet(f"{path}/about")
     return StoredModel.load(spark, path)
@@ -239,7 +233,7 @@ def score_with(docs: DataFrame, model: StoredModel, doc_id: str = "doc_id", text
     """
     ensure_checkpoint_dir(docs.sparkSession)
     carry = list(carry or [])
-    starts, parts = C.bucket_starts(model.buckets), _parts(docs, C.text_bytes(docs, text))
+    starts, parts = C.bucket_starts(model.buckets), C.partitions(docs, C.text_bytes(docs, text))
     src = C.with_chunks(docs.select(F.col(f"`{doc_id}`").alias("doc"), F.col(f"`{text}`").alias("body"),
                                     *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)]), "body")
 

@@ -161,7 +161,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     null id is larger than any other.  Other columns are ignored.
     """
     block = (window + 1) // 2
-    starts = C.bucket_starts(C.bucket_count(docs, text))
+    size = C.text_bytes(docs, text)
+    starts, parts = C.bucket_starts(C.bucket_count(docs, text, size)), C.partitions(docs, size)
     src = C.with_chunks(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc"),
                                     F.col(f"`{text}`").alias("body")), "body")
 
@@ -234,11 +235,11 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         return C.table(rows, _DONE)
 
     probes = src.mapInArrow(probe, "bucket int, chunk long, blob binary")
-    hits = probes.groupBy("bucket").applyInArrow(lambda t: _shared_blocks(t, starts),
+    hits = probes.repartition(parts, "bucket").groupBy("bucket").applyInArrow(lambda t: _shared_blocks(t, starts),
                                                  "chunk long, bucket int, blob binary")
-    texts = src.select("chunk", "doc", "body").repartition("chunk")
-    windows = texts.groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInArrow(
+    texts = src.select("chunk", "doc", "body").repartition(parts, "chunk")
+    windows = texts.groupBy("chunk").cogroup(hits.repartition(parts, "chunk").groupBy("chunk")).applyInArrow(
         extend, "bucket int, chunk long, keys binary, checks binary, ids binary")
-    beaten = windows.groupBy("bucket").applyInArrow(decide, "bucket int, chunk long, keys binary, checks binary")
-    return (texts.groupBy("chunk").cogroup(beaten.groupBy("chunk")).applyInArrow(remove, _DONE)
+    beaten = windows.repartition(parts, "bucket").groupBy("bucket").applyInArrow(decide, "bucket int, chunk long, keys binary, checks binary")
+    return (texts.groupBy("chunk").cogroup(beaten.repartition(parts, "chunk").groupBy("chunk")).applyInArrow(remove, _DONE)
             .withColumnRenamed("doc", doc_id))
