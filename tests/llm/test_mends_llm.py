@@ -1,17 +1,24 @@
 """Failing-first tests of mended operators: odd columns, tiny and repeated tables, hot ids."""
 
 import math
+import os
 import random
 import re
+import subprocess
+import sys
 from collections import Counter
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from panelgap.llm import language_model, pii, queries, sharding
+from panelgap.llm import language_id, language_model, pii, quality, queries, sharding, urls
+from panelgap.llm.oracle import urls_sql
+from panelgap.testing import compare
 
 SF = "/root/testdata/sf0.001"
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 TEXT = "Call 212-555-0147 or +1 212 555 0147 99, card 4111 1111 1111 1111, mail jo@example.com or 10.1.2.3"
 INNER = ["at", "at_", "tie", "tie_", "cell", "cell_", "rank", "rank_", "lo", "lo_", "hi", "hi_", "first", "slot0_", "row",
          "SHARD", "Slot", "rid", "chunk", "body", "k0", "_mixing_row", "_simhash_row", "times"]
@@ -199,3 +206,100 @@ def test_recall_and_precision_on_planted_loose_forms(spark):
     for kind in pii.KINDS:
         assert hit[kind] >= 0.9 * total[kind], (kind, hit, total, wrong)
         assert hit[kind] >= 0.9 * (hit[kind] + wrong[kind]), (kind, hit, total, wrong)
+
+
+# ---- 1: cost is the rule's, not the job's; 6: memory of a long text; 7: partitions by rows
+
+def test_a_dear_rule_goes_last(spark):
+    docs = spark.range(400).select(F.concat_ws(" ", F.array_repeat(F.concat(F.lit("w"), "id"), 200)).alias("text"))
+    dear = quality.Rule("a_dear", lambda m: F.size(F.filter(m.words, lambda x: F.sha2(F.sha2(F.sha2(F.repeat(x, 50), 512), 512), 512) == "")) == 0)
+    cheap = quality.Rule("b_cheap", lambda m: F.length(m.text) > 0)
+    idle = quality.Rule("c_idle", lambda m: F.length(m.text) < 0)
+    for rules in ((dear, cheap, idle), (idle, cheap, dear)):
+        assert [r.name for r in quality.order_rules(docs, "text", rules)] == ["b_cheap", "a_dear", "c_idle"]
+
+
+def test_parts_of_a_long_text_add_up():
+    rng = random.Random(1)
+    words = ["".join(rng.choices("abcdeÄéß ñ", k=rng.randint(1, 9))) for _ in range(40_000)]
+    long = "\u2003".join(words) + " " + "x" * 3000
+    whole, has = language_id.text_vectors([long, None, "b c"])
+    size, language_id.SLICE_CHARS = language_id.SLICE_CHARS, 5000
+    try:
+        parts, owner = language_id._cut([long, None, "b c"])
+        assert len(parts) > 30 and max(map(len, filter(None, parts))) < 5000 + 3100 and owner[-1] == 2
+        again, there = language_id.text_vectors([long, None, "b c"])
+    finally:
+        language_id.SLICE_CHARS = size
+    assert (whole == again).all() and has.tolist() == there.tolist() == [True, False, True]
+
+
+def test_a_text_of_sixty_megabytes_needs_little_memory():
+    code = ("import resource, sys; sys.path.insert(0, sys.argv[1])\n"
+            "from panelgap.llm.language_id import text_vectors\n"
+            "text_vectors(['warm up'])\n"
+            "before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+            "v, has = text_vectors(['the quick brown fox jumps over it ' * 1_800_000])\n"
+            "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)")
+    grown = int(subprocess.run([sys.executable, "-c", code, ROOT], capture_output=True, text=True, check=True).stdout)
+    assert grown < 500 * 1024
+
+
+# ---- 8: branches that are alike are merged, also beside others, whatever the names beneath, at any depth
+
+def judged(spark, tmp_path, rows, rules):
+    """Verdicts by url, the same from SQL."""
+    path = str(tmp_path / "urls")
+    spark.createDataFrame([(i, u) for i, u in enumerate(rows)], "page_id long, url string").write.parquet(f"{path}/pages.parquet")
+    out = urls.filter_urls(spark.read.parquet(f"{path}/pages.parquet"), rules)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{path}/pages.parquet/*.parquet')")
+    ok, why = compare(out.select("page_id", "host", "path", "rule", "verdict"), con, urls_sql(rules))
+    assert ok, why
+    return {rows[r.page_id]: r for r in out.collect()}
+
+
+@pytest.mark.parametrize("up", ["", "2024/05/a/b/c/d/e/"])
+def test_an_unlabelled_branch_joins_its_likes_beside_others(spark, tmp_path, up):
+    rows = [f"http://h.org/{up}{b}/{i}.html" for b in ("spama", "spamb", "spamc", "newsa", "newsb") for i in range(30)]
+    rules = [urls.UrlRule("h.org", f"/{up}{b}/", v) for b, v in (("spama", "block"), ("spamb", "block"), ("newsa", "allow"), ("newsb", "allow"))]
+    got = judged(spark, tmp_path, rows, rules)
+    assert {r.verdict for u, r in got.items() if "spamc" in u} == {"block"}
+    assert {r.template for u, r in got.items() if "spam" in u} == {f"{up.replace('2024', '<n>').replace('05', '<n>')}*block/<n>.html"}
+    assert {r.verdict for u, r in got.items() if "news" in u} == {"allow"}
+
+
+def test_shapes_decide_where_names_differ(spark, tmp_path):
+    rng = random.Random(3)
+
+    def slug():
+        return "-".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(2))
+
+    rows = [f"http://h.org/{b}/{rng.randrange(10**6)}" for b in ("x1q", "kk", "pile") for _ in range(40)]
+    rows += [f"http://h.org/{b}/{slug()}.html" for b in ("blog", "journal", "notes") for _ in range(40)]
+    rules = [urls.UrlRule("h.org", "/x1q/", "block"), urls.UrlRule("h.org", "/kk/", "block"),
+             urls.UrlRule("h.org", "/blog/", "allow"), urls.UrlRule("h.org", "/journal/", "allow")]
+    got = judged(spark, tmp_path, rows, rules)
+    assert {r.verdict for u, r in got.items() if "/pile/" in u} == {"block"}
+    # slugs differ in every branch, their form doesn't
+    assert {r.verdict for u, r in got.items() if "/notes/" in u} == {"allow"}
+    assert {r.template for u, r in got.items() if "/notes/" in u} == {"*allow/*"}
+
+
+def test_branches_of_other_shape_or_rate_stay_apart(spark, tmp_path):
+    rows = [f"http://h.org/{b}/{i}" for b in ("aa1x", "bb2x") for i in range(50)] + [f"http://h.org/odd/img/{i}/view.php" for i in range(50)]
+    rows += [f"http://h.org/mixed/{i}" for i in range(50)]
+    rules = [urls.UrlRule("h.org", "/aa1x/", "block"), urls.UrlRule("h.org", "/bb2x/", "block"),
+             *[urls.UrlRule("h.org", f"/mixed/{i}", "block") for i in (10, 11, 12)], *[urls.UrlRule("h.org", f"/mixed/{i}", "allow") for i in (13, 14)]]
+    got = judged(spark, tmp_path, rows, rules)
+    assert {r.template.split("/")[0] for u, r in got.items() if "/odd/" in u} == {"odd"}
+    assert {r.template.split("/")[0] for u, r in got.items() if "/mixed/" in u} == {"mixed"}
+    assert {r.verdict for u, r in got.items() if "/odd/" in u and r.rule is None} <= {"allow", "block"}
+
+
+def test_urls_of_odd_rows(spark, tmp_path):
+    got = judged(spark, tmp_path, [None, "", "no scheme", "http://h.org", "http://h.org/", "http://h.org//a//", "http://h.org/" + "q/" * 40],
+                 [urls.UrlRule("h.org", "/a", "block")])
+    assert len(got) == 7 and {r.verdict for r in got.values()} <= {"allow", "block"}
+    odd = spark.createDataFrame([(1, "http://h.org/x", "s", 1, 2)], "page_id long, url string, host string, n int, template int")
+    assert urls.filter_urls(odd, []).count() == 1 and urls.filter_urls(odd.limit(0), []).count() == 0
