@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..ml.cluster import kmeans_grid, kmeans_restarts, relabel_by_mean, silhouette_sq, standardize
+from ..ml.cluster import kmeans_grid, kmeans_restarts, relabel_by_mean, silhouette_euclid, silhouette_sq, standardize
 from ..ml.evaluate import accuracy_by_group as acc_by_group
 from ..ml.evaluate import confusion, majority_baseline as majority, report
 from ..ml.knn import knn_predict as knn
@@ -190,6 +190,23 @@ s AS (
 SELECT ROUND(AVG(s), 6) AS silhouette FROM s"""))(silhouette)
 
 
+def silhouette_euclid_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5: the same with the Euclidean distance, which sums of squares can't give."""
+    s = silhouette_euclid(_points(spark, sf_dir), ["gap_total_z", "pct_sev_z"], "inclusion_group", "entity")
+    return s.select(F.round("silhouette", 6).alias("silhouette"))
+
+
+query("silhouette_euclid", O.with_mart("""
+, pts AS (SELECT entity, inclusion_group AS c, gap_total, pct_sev FROM mart
+          WHERE NOT is_aggregate AND gap_total IS NOT NULL AND pct_sev IS NOT NULL),
+st AS (SELECT AVG(gap_total) AS m0, STDDEV_POP(gap_total) AS s0, AVG(pct_sev) AS m1, STDDEV_POP(pct_sev) AS s1 FROM pts),
+z AS (SELECT entity, c, (gap_total - m0) / s0 AS x0, (pct_sev - m1) / s1 AS x1 FROM pts, st),
+far AS (SELECT a.entity, a.c AS own, b.c, SUM(sqrt((a.x0 - b.x0) ** 2 + (a.x1 - b.x1) ** 2)) AS d, COUNT(*) AS n FROM z a, z b GROUP BY ALL),
+ab AS (SELECT entity, MAX(n) FILTER (own = c) AS size, MAX(d / greatest(n - 1, 1)) FILTER (own = c) AS a, MIN(d / n) FILTER (own <> c) AS b
+       FROM far GROUP BY entity)
+SELECT ROUND(AVG(CASE WHEN size = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM ab"""))(silhouette_euclid_q)
+
+
 def kmeans_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3/M6: K-Means k=3 (best of 10 seeds), clusters renumbered by mean gap."""
     return (_clusters(spark, sf_dir)

@@ -87,12 +87,14 @@ def test_null_cell_present_vs_absent(spark):
 def test_cluster_partition_on_published_points(spark):
     """The eight published points: the best of 10 restarts is the CSV's
     partition {LT} {IT,ES,DE,FR,PT} {SE,NL}; population-std cost 1.827."""
-    from panelgap.ml.cluster import kmeans_restarts, relabel_by_mean, standardize
+    from panelgap.ml.cluster import kmeans_restarts, relabel_by_mean, silhouette_euclid, standardize
     pts = [(e, GAPS[e], s) for e, _, s in PUBLISHED if e != "EU27_2020"]
     df = standardize(spark.createDataFrame(pts, "entity string, gap_total double, pct_sev double"),
                      ["gap_total", "pct_sev"])
     m, cost, vec = kmeans_restarts(df, ["gap_total_z", "pct_sev_z"], 3)
     assert cost == pytest.approx(1.827, abs=2e-3)
+    got = silhouette_euclid(m.transform(vec), ["gap_total_z", "pct_sev_z"], "cluster_raw", "entity")
+    assert got.first()[0] == pytest.approx(0.441, abs=1e-3)
     lab = {r.entity: r.cluster for r in relabel_by_mean(m.transform(vec), "gap_total").collect()}
     assert lab["LT"] == 2 and lab["SE"] == lab["NL"] == 0
     assert {lab[e] for e in ("IT", "ES", "DE", "FR", "PT")} == {1}

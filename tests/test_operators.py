@@ -125,7 +125,7 @@ def test_knn_matches_bruteforce(spark, seed):
     test = [(rng.randint(0, 3), rng.randint(0, 2), rng.randint(0, 30), i) for i in range(15)]
     tr = spark.createDataFrame(train, "a long, b long, c long, label long, key string")
     te = spark.createDataFrame(test, "a long, b long, c long, tid long")
-    got = {r.tid: r.prediction for r in knn_predict(tr, te, ["a", "b", "c"], k=5, radius=1).collect()}
+    got = {r.tid: r.prediction for r in knn_predict(tr, te, ["a", "b", "c"], k=5, cell_profiles=4).collect()}
     for a, b, c, tid in test:
         nn = sorted(train, key=lambda t: ((t[0] - a) ** 2 + (t[1] - b) ** 2 + (t[2] - c) ** 2, t[4]))[:5]
         ones = sum(t[3] for t in nn)
@@ -204,3 +204,55 @@ def test_cell_pivot_equals_inner_self_join(spark, rows):
               fa.join(fb, F.col("fa.entity") == F.col("fb.entity"))
                 .select("fa.entity", "fa.pct", "fb.pct", "fa.is_reliable", "fb.is_reliable").collect()}
     assert piv == joined
+
+
+def test_kd_splits_are_even_and_stop_at_equal_points():
+    from panelgap.ml.knn import kd_splits
+    rng = np.random.default_rng(3)
+    points = rng.integers(0, 1000, (4000, 3)).astype(float)
+    counts = {}
+
+    def leaf(tree, p):
+        while isinstance(tree, list):
+            tree = tree[2] if p[tree[0]] <= tree[1] else tree[3]
+        return tree
+
+    tree = kd_splits(points, 16)
+    for p in points:
+        counts[leaf(tree, p)] = counts.get(leaf(tree, p), 0) + 1
+    assert len(counts) == 16 and max(counts.values()) < 2 * min(counts.values())
+    assert kd_splits(np.ones((50, 2)), 8) == 0 and kd_splits(points[:0], 8) == 0
+
+
+@pytest.mark.parametrize("cell", [1, 3, 50])
+def test_knn_by_tree_with_ties_far_points_and_hot_profiles(spark, cell):
+    from panelgap.ml.knn import knn_predict
+    rng = random.Random(cell)
+    train = [(rng.choice([0, 0, 5, 40]), rng.randint(0, 6), rng.randint(0, 2), f"k{rng.randrange(10**6):06d}{i}") for i in range(400)]
+    test = [(rng.randint(-30, 60), rng.randint(0, 6), i) for i in range(40)]
+    got = {r.tid: r.prediction for r in knn_predict(spark.createDataFrame(train, "a long, b long, label long, key string"),
+                                                    spark.createDataFrame(test, "a long, b long, tid long"), ["a", "b"], k=7, cell_profiles=cell).collect()}
+    for a, b, tid in test:
+        nn = sorted(train, key=lambda t: ((t[0] - a) ** 2 + (t[1] - b) ** 2, t[3]))[:7]
+        votes = sorted(((-sum(t[2] == x for t in nn), x) for x in {t[2] for t in nn}))
+        assert got[tid] == votes[0][1], (tid, cell)
+
+
+@pytest.mark.parametrize("block", [2, 7, 2048])
+def test_euclidean_silhouette_by_blocks(spark, block):
+    from panelgap.ml.cluster import silhouette_euclid
+    rng = np.random.default_rng(1)
+    rows = [(float(x), float(y), int(c), f"p{c}{i}") for c in range(3) for i, (x, y) in enumerate(rng.normal(c * 2, 0.7, size=(12, 2)))]
+    rows.append((9.0, 9.0, 3, "alone"))
+    x, c = np.array([r[:2] for r in rows]), np.array([r[2] for r in rows])
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    want = []
+    for i in range(len(rows)):
+        own = (c == c[i]).sum() - 1
+        a = d[i, c == c[i]].sum() / max(own, 1)
+        b = min(d[i, c == k].mean() for k in set(c) if k != c[i])
+        want.append((b - a) / max(a, b) if own else 0.0)
+    df = spark.createDataFrame(rows, "x double, y double, c int, k string")
+    assert silhouette_euclid(df, ["x", "y"], "c", "k", block_points=block).first()[0] == pytest.approx(np.mean(want))
+    with pytest.raises(ValueError):
+        silhouette_euclid(df, ["x", "y"], "c", "k", max_points=10)
