@@ -117,7 +117,7 @@ class PositionalIndex:
         self.words = [np.array([self.ids[w] for w in split_words(t.text)], np.int64) for t in templates]
         self.keys = [[np.array([self.ids[w] for w in split_words(k)], np.int64) for k in t.keys] for t in templates]
         self.needed = [frozenset(int(w) for k in keys for w in k) for keys in self.keys]
-        #: Templates by one of their mandatory words, the first by name: a cheap first lookup.
+        #: Of each template: positions by word.
         self.postings: list[dict[int, np.ndarray]] = [{int(w): np.flatnonzero(ws == w) for w in np.unique(ws)} for ws in self.words]
 
     def read(self, text: str | None) -> tuple[int, np.ndarray, np.ndarray]:

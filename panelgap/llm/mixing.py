@@ -103,6 +103,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     text has no words; texts without words are copied once, as they add nothing.  Which
     documents of a size get the extra copy follows from a hash of the id, so reruns
     agree.  The sources themselves (names and counts, not documents) pass the driver.
+    Repeated rows are documents of their own; an empty table gives no rows; other columns
+    are not read, whatever their names.
     """
     ensure_checkpoint_dir(docs.sparkSession)
     spark, carry = docs.sparkSession, list(carry or [])
@@ -145,7 +147,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
 
 def mixed(docs: DataFrame, **parameters) -> DataFrame:
-    """``docs``, a stored table, with each row repeated as often as the mix takes it; columns as given."""
+    """``docs``, a stored table, with each row repeated as often as the mix takes it; columns as given,
+    whatever their names (the inner ones take names that are free); an empty table stays empty."""
     row, times = free_name(docs, "row"), free_name(docs, "times")
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
     taken = mix(numbered, carry=[row], **parameters).where("copies > 0").select(row, F.col("copies").alias(times))

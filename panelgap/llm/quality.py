@@ -188,7 +188,8 @@ def quality_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """One row per input row: ``doc_id``, ``n_words``, ``word_chars``, ``n_symbols``,
     ``n_dup_lines``, ``n_repeat_words``, ``base_failed`` (under 20 words, or more than
     30 % of them in repeated windows) and ``kept``: not base_failed, and no rule of the
-    cascade fails."""
+    cascade fails.  A null or empty text has no words and fails; repeated rows are judged
+    alike; an empty table gives no rows; other columns are not read."""
     base = {r.name for r in BASE_RULES}
     ordered = order_rules(docs, text, tuple(r for r in rules if r.name not in base))
     t, w = F.col("text_"), F.col("words_")
