@@ -159,8 +159,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Windows are judged on the input.  A null text has no words; texts shorter than
     the window stay whole.  Rows with equal ids never remove each other's words; a
     null id is larger than any other; ids are whole numbers and come back as long.  Other columns
-    are ignored; repeated rows with one id don't remove each other's words; an empty table gives
-    no rows.  Rows are told apart by their place in their input partition, so ``docs`` is a stored table.
+    are ignored; an empty table gives no rows.  Rows are told apart by their place in their input partition, so ``docs`` is a stored table.
     """
     block = (window + 1) // 2
     size = C.text_bytes(docs, text)
