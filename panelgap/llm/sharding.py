@@ -89,14 +89,15 @@ def shard(docs: DataFrame, shards: int, doc_id: str = "doc_id", slack: float = 0
     src = docs.select(row.alias("row"), at.alias("at"), tie.alias("tie"))
     cell = F.shiftrightunsigned("at", 64 - CELL_BITS).cast("int")
     counts = {r["cell"]: r["n"] for r in src.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    crowded = [c for c, n in counts.items() if n > max(CROWDED_ROWS, sum(counts.values()) // CROWD)]
+    limit = max(CROWDED_ROWS, sum(counts.values()) // CROWD)
+    crowded = {c for c, n in counts.items() if n > limit}
     part = F.lit(0)
     if crowded:  # fewer than CROWD cells
-        part = F.when(cell.isin(crowded), F.pmod(F.xxhash64("tie", F.monotonically_increasing_id()), F.lit(PARTS)).cast("int")).otherwise(0)
+        part = F.when(cell.isin(sorted(crowded)), F.pmod(F.xxhash64("tie", F.monotonically_increasing_id()), F.lit(PARTS)).cast("int")).otherwise(0)
     ranked = src.withColumn("cell", cell * PARTS + part)
-    parts = {c * PARTS: n for c, n in counts.items() if c not in set(crowded)}
+    parts = {c * PARTS: n for c, n in counts.items() if c not in crowded}
     if crowded:
-        split = ranked.where(cell.isin(crowded)).groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+        split = ranked.where(cell.isin(sorted(crowded))).groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
         parts |= {r["cell"]: r["n"] for r in split.collect()}
     # at most a row for each cell and part and for each place where a shard became full: a fixed bound
     plan = F.broadcast(docs.sparkSession.createDataFrame(
