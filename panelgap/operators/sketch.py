@@ -44,7 +44,11 @@ def approximate_distinct(cube: DataFrame, out: str = "approx_n") -> DataFrame:
 
 
 def exact_distinct(micro: DataFrame, value: str, out: str = "exact_n", **limits) -> DataFrame:
-    """The exact count of every cell, for an audit: distinct values of a group first, then of each cell."""
-    groups = micro.where(F.col(value).isNotNull()).select("entity", "rf", "ls", "os", value).distinct()
-    return (cell_rows(groups, [value], **limits).groupBy("entity", "level", "ls", "os")
-            .agg(F.count_distinct(value).alias(out)).withColumn("category_code", category_code_expr()))
+    """The exact count of every cell, for an audit.  A value counts once in each cell that one of its groups belongs
+    to, so the values with the same set of groups are counted first, and only these counts go up the cube."""
+    group = F.struct("entity", "rf", "ls", "os")
+    sets = (micro.where(F.col(value).isNotNull()).groupBy(value).agg(F.sort_array(F.collect_set(group)).alias("_set"))
+            .groupBy("_set").agg(F.count(F.lit(1)).alias("_n")))
+    groups = sets.select("_set", "_n", F.explode("_set").alias("_g")).select("_g.*", "_set", "_n")
+    return (cell_rows(groups, ["_set", "_n"], **limits).distinct().groupBy("entity", "level", "ls", "os")
+            .agg(F.sum("_n").alias(out)).withColumn("category_code", category_code_expr()))

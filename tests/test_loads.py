@@ -136,3 +136,21 @@ def test_clean_panel_is_sorted_at_the_sink_only(spark):
     from panelgap.plans.pipeline import clean_panel_q
     plan = clean_panel_q(spark, SF_SMALL, sort=False)._jdf.queryExecution().optimizedPlan().toString()
     assert "Sort " not in plan
+
+
+def test_exact_counts_go_up_the_cube_as_counts_not_as_values(spark):
+    """A value in groups of two entities, two levels and with null keys counts once a cell, and no value is expanded."""
+    made = [("A", "N", "F", "O", 1), ("A", "A", "F", "O", 1), ("B", "R", "O", "O", 1), ("B", "R", "O", "O", 1), ("B", "A", "O", "F", 2),
+            (None, "A", None, "F", 2), ("A", None, "F", "P", 3), ("A", "R", "F", "O", None), ("A", "R", "F", "P", 4)]
+    rows = spark.createDataFrame(made, "entity string, rf string, ls string, os string, v long")
+    df = exact_distinct(rows, "v")
+    plan = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    first = next((i for i, x in enumerate(plan) if "collect_set" in x), len(plan))
+    assert not any("v#" in x for x in plan[:first])
+    level = {"N": ["L_NONE"], "A": ["L_LTD", "L_LTD_SEV"], "R": ["L_SEV", "L_LTD_SEV"], None: [None]}
+    want = {}
+    for e, rf, ls, os_, v in made:
+        for cell in ((x, lv, *s) for x in (e, "ALL") for lv in level[rf] for s in (("Total", "Total"), (ls, "Total"), ("Total", os_))):
+            if v is not None:
+                want.setdefault(cell, set()).add(v)
+    assert {(r.entity, r.level, r.ls, r.os): r.exact_n for r in df.collect()} == {k: len(v) for k, v in want.items()}
