@@ -4,7 +4,7 @@ Generators of high recall propose overlapping spans: the strict formats, which a
 count, and loose ones (digit groups without a plus, spelt-out mail addresses, dotted
 numbers).  Boosted trees score each loose candidate from features of its format and
 its context; a threshold per kind, calibrated on candidates kept apart, selects the
-spans to add.  The trees learn from a bounded sample of the corpus: loosely written
+spans to add.  The trees learn from the candidates of the whole corpus: loosely written
 variants of strict spans, and of invented ones set into its texts, are positive,
 candidates that break a format rule and damaged variants are negative.  A candidate that
 breaks none may be personal data and has no label.
@@ -13,6 +13,7 @@ breaks none may be personal data and has no label.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -24,10 +25,10 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 KINDS = ("email", "ip", "card", "phone")
-#: Bound of the sample that the trees are fitted on, in candidates and in documents.
-SAMPLE_CANDIDATES, SAMPLE_DOCS = 20_000, 50_000
-#: Texts of the sample that get invented spans, about.
-INVENTED_DOCS = 500
+#: One text of so many gets invented spans, and in a small corpus about so many texts get them.
+HOST_EVERY, INVENTED_DOCS = 100, 500
+#: Rows of the table of candidates in a partition, at least; steps of the thresholds.
+TABLE_ROWS, STEPS = 50_000, 10_000
 PRECISION = 0.99
 CONTEXT = 32
 
@@ -132,51 +133,91 @@ class BoostedTrees:
     rate: float = 0.3
     bins: int = 16
     bias: float = 0.0
-    trees: list = field(default_factory=list)  # (feature, cut, ((feature, cut, low, high), (... )))
-
-    def _cut(self, x, residual, weight, rows):
-        """The split of ``rows`` with the largest gain, and the values of its sides."""
-        total, mass = residual[rows].sum(), weight[rows].sum()
-        best = (0.0, 0, -np.inf, total / (mass + 1), total / (mass + 1))
-        for j in range(x.shape[1]):
-            for c in self.cuts[j]:
-                low = x[rows, j] <= c
-                g, h = residual[rows][low].sum(), weight[rows][low].sum()
-                gain = g * g / (h + 1) + (total - g) ** 2 / (mass - h + 1) - total * total / (mass + 1)
+    cuts: list = field(default_factory=list)  # of each feature
+    trees: list = field(default_factory=list)  # (feature, bin, ((feature, bin, low, high), (... )))
+
+    def _split(self, g: np.ndarray, h: np.ndarray):
+        """The split with the largest gain, and the values of its sides: ``g`` and ``h`` are the sums of residuals and
+        of weights by feature and bin."""
+        total, mass = g[0].sum(), h[0].sum()
+        best = (0.0, 0, 0, total / (mass + 1), total / (mass + 1))
+        for j, cuts in enumerate(self.cuts):
+            low, light = np.cumsum(g[j]), np.cumsum(h[j])
+            for b in range(len(cuts)):
+                gain = low[b] ** 2 / (light[b] + 1) + (total - low[b]) ** 2 / (mass - light[b] + 1) - total * total / (mass + 1)
                 if gain > best[0] + 1e-9:
-                    best = (gain, j, float(c), g / (h + 1), (total - g) / (mass - h + 1))
+                    best = (gain, j, b, low[b] / (light[b] + 1), (total - low[b]) / (mass - light[b] + 1))
         return best
 
-    def fit(self, x: np.ndarray, y: np.ndarray) -> BoostedTrees:
-        """Without rows, or with one class, there is no tree and the bias alone decides."""
-        if not len(y):
+    def binned(self, x: np.ndarray) -> np.ndarray:
+        """The bin of each value: how many cuts are below it."""
+        return np.stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(self.cuts)], axis=1).astype(np.int32)
+
+    def _sums(self, table: DataFrame, root: tuple[int, int] | None, several: bool) -> np.ndarray:
+        """Sums of residuals and of weights by side of the ``root`` split (or over all), feature and bin, of
+        every row of ``table(x, n, y)``: binned features, number of rows alike, and of positive ones.  ``several``:
+        the table has more than one partition."""
+        bias, trees, rate, wide = self.bias, list(self.trees), self.rate, self.bins + 1
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = None
+            for b in batches:
+                n, y = (b.column(c).to_numpy() for c in ("n", "y"))
+                x = _matrix(b.column("x"))
+                p = 1 / (1 + np.exp(-_score(bias, rate, trees, x)))
+                side = np.zeros(len(x), np.int64) if root is None else (x[:, root[0]] > root[1]).astype(np.int64)
+                at = (side[:, None] * x.shape[1] + np.arange(x.shape[1])) * wide + x
+                size = 2 * x.shape[1] * wide
+                sums = np.stack([np.bincount(at.ravel(), np.repeat(v, x.shape[1]), size) for v in (y - n * p, n * p * (1 - p))])
+                out = sums if out is None else out + sums
+            if out is not None:
+                k = np.flatnonzero(out[1])
+                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(out[0][k]), pa.array(out[1][k])], ["k", "g", "h"])
+
+        sums = table.mapInArrow(add, "k long, g double, h double")
+        if several:
+            sums = sums.groupBy("k").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+        found, out = sums.toArrow(), np.zeros((2, 2 * len(self.cuts) * wide))
+        out[:, found["k"].to_numpy()] = found["g"].to_numpy(), found["h"].to_numpy()
+        return out.reshape(2, 2, len(self.cuts), wide)
+
+    def fit(self, table: DataFrame, cuts: list[np.ndarray]) -> BoostedTrees:
+        """Fits on all rows of ``table(x, n, y)``, features in the bins of ``cuts``: two jobs a round add the sums of every
+        bin up, which is all that passes the driver.  With one class there is no tree and the bias alone decides."""
+        self.cuts = cuts
+        n, y = table.agg(F.sum("n"), F.sum("y")).first()
+        if not n:
             return self
-        self.cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, self.bins + 1)[:-1])) for j in range(x.shape[1])]
-        mean = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+        mean = np.clip(y / n, 1e-3, 1 - 1e-3)
         self.bias = float(np.log(mean / (1 - mean)))
-        score = np.full(len(y), self.bias)
+        several = table.rdd.getNumPartitions() > 1
         for _ in range(self.rounds):
-            p = 1 / (1 + np.exp(-score))
-            residual, weight = y - p, p * (1 - p)
-            gain, j, c, *_ = self._cut(x, residual, weight, np.arange(len(y)))
+            sums = self._sums(table, None, several)
+            gain, j, b, *_ = self._split(sums[0, 0], sums[1, 0])
             if gain <= 0:
                 break
-            sides = [self._cut(x, residual, weight, np.flatnonzero(m)) for m in (x[:, j] <= c, x[:, j] > c)]
-            self.trees.append((j, c, [s[1:] for s in sides]))
-            score += self.rate * self._tree(self.trees[-1], x)
+            sums = self._sums(table, (j, b), several)
+            self.trees.append((j, b, [self._split(sums[0, s], sums[1, s])[1:] for s in (0, 1)]))
         return self
 
-    @staticmethod
-    def _tree(tree, x):
-        j, c, sides = tree
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        return self.predict_binned(self.binned(x)) if self.trees else np.full(len(x), 1 / (1 + np.exp(-self.bias)))
+
+    def predict_binned(self, x: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-_score(self.bias, self.rate, self.trees, x)))
+
+
+def _score(bias: float, rate: float, trees: list, x: np.ndarray) -> np.ndarray:
+    score = np.full(len(x), bias)
+    for j, b, sides in trees:
         out = [np.where(x[:, k] <= cut, low, high) for k, cut, low, high in sides]
-        return np.where(x[:, j] <= c, out[0], out[1])
+        score += rate * np.where(x[:, j] <= b, out[0], out[1])
+    return score
 
-    def predict(self, x: np.ndarray) -> np.ndarray:
-        score = np.full(len(x), self.bias)
-        for t in self.trees:
-            score += self.rate * self._tree(t, x)
-        return 1 / (1 + np.exp(-score))
+
+def _matrix(rows: pa.Array) -> np.ndarray:
+    """A column of lists of one length as a matrix."""
+    return rows.flatten().to_numpy().reshape(len(rows), -1)
 
 
 def _pick(rng: np.random.Generator, *options):
@@ -283,50 +324,72 @@ class Detector:
         return strict, {k: sorted(v) for k, v in added.items()}
 
 
-def fit(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS,
-        sample_candidates: int = SAMPLE_CANDIDATES) -> Detector:
-    """Fits the trees on at most ``sample_candidates`` candidates from about ``sample_docs``
-    documents, both taken by a hash from all partitions, and sets the thresholds on the
-    candidates of a quarter of the documents, by a hash of the text, that the trees didn't
-    see: the lowest at which ``PRECISION`` of what a kind selects is right, else nothing is
-    added.  Where the learning part has no candidates or only one label, as with an empty table or
-    one text repeated, nothing is added either.  Null texts are left out, other columns not read."""
+def fit(docs: DataFrame, text: str = "text") -> Detector:
+    """Fits the trees on the labelled candidates of every document but a quarter, by a hash of the
+    text, and sets the thresholds on all candidates of that quarter, which the trees didn't
+    see: the lowest, in steps of 1 / ``STEPS``, at which ``PRECISION`` of what a kind selects is right, else
+    nothing is added.  Candidates with the same features are one row with their number, and then
+    those in the same bins; the table of them stays in Spark.  Where the learning part has
+    no candidates or only one label, as with an empty table or one text repeated, nothing is added
+    either.  Null texts are left out, other columns not read."""
     ensure_checkpoint_dir(docs.sparkSession)
-    total, whole = max(1, docs.count()), 1 << 30
-    # invented spans in about 500 texts of the sample, or in all of fewer
-    every = max(1, min(total, sample_docs) // INVENTED_DOCS)
+    # invented spans in about one text of HOST_EVERY, in a small corpus in about INVENTED_DOCS texts, or in all of fewer
+    every = max(1, min(HOST_EVERY, docs.count() // INVENTED_DOCS))
     src = docs.select(F.col(f"`{text}`").alias("body")).where("body is not null").select(
         "body", F.xxhash64("body", F.monotonically_increasing_id()).alias("row"),
         (F.pmod(F.xxhash64("body"), F.lit(4)) == 3).alias("held"))
-    if total > sample_docs:
-        src = src.where(F.pmod("row", F.lit(whole)) < F.lit(whole * sample_docs // total))
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(row, held, i, *r) for t, row, held in zip(*(b.column(c).to_pylist() for c in ("body", "row", "held")), strict=True)
-                    for i, r in enumerate(labelled_candidates(t, row % (1 << 32), (row >> 32) % every == 0))]
-            types = {"row": pa.int64(), "held": pa.bool_(), "i": pa.int32(), "x": pa.list_(pa.float64()), "y": pa.int32()}
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types.values())],
-                                             list(types))
-
-    found = (src.mapInArrow(label, "row long, held boolean, i int, x array<double>, y int")
-             .withColumn("pick", F.pmod(F.xxhash64("row", "i"), F.lit(whole))).checkpoint())
-    n = found.count()
-    if n > sample_candidates:
-        found = found.where(F.col("pick") < F.lit(whole * sample_candidates // n))
-    rows = sorted(found.collect(), key=lambda r: (r["pick"], r["row"], r["i"]))[:sample_candidates]
-    if len({r["y"] for r in rows if not r["held"]}) < 2:  # nothing to learn from
+            alike: Counter = Counter()
+            for t, row, held in zip(*(b.column(c).to_pylist() for c in ("body", "row", "held")), strict=True):
+                alike.update((held, y, tuple(x)) for x, y in labelled_candidates(t, row % (1 << 32), (row >> 32) % every == 0))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in alike], pa.bool_()), pa.array([list(k[2]) for k in alike], pa.list_(pa.float64())),
+                 pa.array(list(alike.values()), pa.int64()), pa.array([k[1] * n for k, n in alike.items()], pa.int64())],
+                ["held", "x", "n", "y"])
+
+    counts = [F.sum(c).alias(c) for c in ("n", "y")]
+    found = (src.mapInArrow(label, "held boolean, x array<double>, n long, y long")
+             .groupBy("held", "x").agg(*counts).checkpoint())
+    learnt = found.where("not held")
+    n, y, width = learnt.agg(F.sum("n"), F.sum("y"), F.max(F.size("x"))).first()
+    if not y or y == n:  # nothing to learn from
         return Detector(BoostedTrees(), dict.fromkeys(KINDS, 2.0))
-    x, y = np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows], float)
-    held = np.array([r["held"] for r in rows])
-    trees = BoostedTrees().fit(x[~held], y[~held])
-    p, threshold = trees.predict(x[held]), {}
+    trees = BoostedTrees()
+    at = [i / trees.bins for i in range(trees.bins)]
+    cuts = [np.unique(q) for q in learnt.agg(*[F.percentile(F.col("x")[j], at, F.col("n")).alias(f"q{j}") for j in range(width)]).first()]
+    trees.cuts = cuts
+
+    def bin_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = trees.binned(_matrix(b.column("x")))
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.int32())), b.column("n"), b.column("y")], ["x", "n", "y"])
+
+    binned = learnt.select("x", "n", "y").mapInArrow(bin_, "x array<int>, n long, y long").groupBy("x").agg(*counts).checkpoint()
+    parts = -(-binned.count() // TABLE_ROWS)
+    trees.fit(binned.repartition(parts).checkpoint(), cuts)
+
+    def grade(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = _matrix(b.column("x"))
+            step = np.floor(trees.predict(x) * STEPS).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.argmax(x[:, :len(KINDS)], axis=1)), pa.array(step), b.column("n"), b.column("y")],
+                                             ["kind", "step", "n", "y"])
+
+    # at most STEPS rows a kind
+    steps = (found.where("held").select("x", "n", "y").mapInArrow(grade, "kind long, step long, n long, y long")
+             .groupBy("kind", "step").agg(*counts).orderBy(F.desc("step")).collect())
+    threshold = {}
     for i, kind in enumerate(KINDS):
-        own = x[held][:, i] > 0
-        order = np.argsort(-p[own], kind="stable")
-        right = np.cumsum(y[held][own][order]) / np.arange(1, own.sum() + 1)
+        own = [r for r in steps if r["kind"] == i]
+        right = np.cumsum([r["y"] for r in own]) / np.cumsum([r["n"] for r in own])
         good = np.flatnonzero(right >= PRECISION)
-        threshold[kind] = max(0.5, float(p[own][order][good[-1]])) if len(good) else 2.0
+        if not len(good):
+            threshold[kind] = 2.0
+            continue
+        last = own[good[-1]]["step"]  # what is between it and the next lower one isn't told apart
+        threshold[kind] = last / STEPS if any(STEPS <= 2 * r["step"] < 2 * last for r in own) else 0.5
     return Detector(trees, threshold)
 
 

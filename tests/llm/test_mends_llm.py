@@ -9,6 +9,7 @@ import sys
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -303,3 +304,59 @@ def test_urls_of_odd_rows(spark, tmp_path):
     assert len(got) == 7 and {r.verdict for r in got.values()} <= {"allow", "block"}
     odd = spark.createDataFrame([(1, "http://h.org/x", "s", 1, 2)], "page_id long, url string, host string, n int, template int")
     assert urls.filter_urls(odd, []).count() == 1 and urls.filter_urls(odd.limit(0), []).count() == 0
+
+
+# ---- 3: all candidates of the corpus are learnt from
+
+def test_trees_learn_from_every_candidate(spark, monkeypatch):
+    texts = [f"n{i}@b.cd;" + ";".join(f"21255{i:03d}{j:02d}" for j in range(80)) for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    learnt = docs.where(F.pmod(F.xxhash64("text"), F.lit(4)) != 3).count()
+    given, fit = [], pii.BoostedTrees.fit
+
+    def spy(self, table, *rest):
+        given.append(table)
+        return fit(self, table, *rest)
+
+    monkeypatch.setattr(pii.BoostedTrees, "fit", spy)
+    pii.fit(docs)
+    rows = given[0].agg(F.sum(F.col("n") - F.col("y"))).first()[0] if hasattr(given[0], "agg") else len(given[0])
+    assert 80 * learnt > 20_000 and rows >= 80 * learnt
+
+
+def plain_boosting(x, y, rounds, rate=0.3):
+    """Depth-two trees on single rows: the predictions for them."""
+    cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, 17)[:-1])) for j in range(x.shape[1])]
+    score = np.full(len(y), np.log(y.mean() / (1 - y.mean())))
+
+    def split(g, h, rows):
+        best = (0.0, 0, -np.inf, *[g[rows].sum() / (h[rows].sum() + 1)] * 2)
+        for j, c in ((j, c) for j in range(x.shape[1]) for c in cuts[j]):
+            a, b = rows & (x[:, j] <= c), rows & (x[:, j] > c)
+            own = [g[s].sum() ** 2 / (h[s].sum() + 1) for s in (a, b, rows)]
+            if own[0] + own[1] - own[2] > best[0] + 1e-9:
+                best = (own[0] + own[1] - own[2], j, c, *[g[s].sum() / (h[s].sum() + 1) for s in (a, b)])
+        return best
+
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-score))
+        _, j, c, *_ = split(y - p, p * (1 - p), np.full(len(y), True))
+        for side in (x[:, j] <= c, x[:, j] > c):
+            _, k, cut, low, high = split(y - p, p * (1 - p), side)
+            score[side] += rate * np.where(x[side, k] <= cut, low, high)
+    return 1 / (1 + np.exp(-score))
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_trees_over_a_table_are_those_of_its_rows(spark, parts):
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 40, (300, 4)).astype(float)
+    y = ((x[:, 0] > 17) ^ (x[:, 2] > 30)).astype(float)
+    y[::11] = 1 - y[::11]
+    x, y = np.repeat(x, 2, axis=0), np.repeat(y, 2)
+    cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, 17)[:-1])) for j in range(4)]
+    trees = pii.BoostedTrees(rounds=6)
+    trees.cuts = cuts
+    rows = Counter(zip(map(tuple, trees.binned(x).tolist()), y.tolist(), strict=True))
+    table = spark.createDataFrame([(list(k), n, int(n * v)) for (k, v), n in rows.items()], "x array<int>, n long, y long").repartition(parts)
+    assert np.allclose(trees.fit(table, cuts).predict(x), plain_boosting(x, y, 6))
