@@ -95,7 +95,8 @@ def links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
     chain = F.lit(False)
     for k in range(SEGMENTS):
         chain = chain | ((i == k) & (bits[k] + bits[(k + 1) % SEGMENTS] + bits[(k + 2) % SEGMENTS] <= 2))
-    return (index.join(probe, "key").where((F.col("a") != F.col("b")) & chain & (F.bit_count(x) <= max_bits))
+    # Spark estimates an exploded array as one row: without the hint it broadcasts up to 68 times the size it expects
+    return (index.hint("merge").join(probe, "key").where((F.col("a") != F.col("b")) & chain & (F.bit_count(x) <= max_bits))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
 
 

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from panelgap.llm import language_id, language_model, pii, quality, queries, sharding, urls
+from panelgap.llm import language_id, language_model, pii, quality, queries, sharding, simhash, urls
 from panelgap.llm.oracle import urls_sql
 from panelgap.testing import compare
 
@@ -360,3 +360,13 @@ def test_trees_over_a_table_are_those_of_its_rows(spark, parts):
     rows = Counter(zip(map(tuple, trees.binned(x).tolist()), y.tolist(), strict=True))
     table = spark.createDataFrame([(list(k), n, int(n * v)) for (k, v), n in rows.items()], "x array<int>, n long, y long").repartition(parts)
     assert np.allclose(trees.fit(table, cuts).predict(x), plain_boosting(x, y, 6))
+
+
+def test_index_and_probe_rows_are_never_broadcast(spark):
+    """Their estimated size is that of the fingerprints, as if each were one row and not four to sixty-eight."""
+    first = random.Random(4).getrandbits(62)
+    dealt = spark.createDataFrame([(first ^ i << 20,) for i in range(3000)], "fp long").repartition(4, "fp")
+    near = simhash.links(dealt)
+    assert near.collect()
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
