@@ -370,3 +370,13 @@ def test_index_and_probe_rows_are_never_broadcast(spark):
     assert near.collect()
     plan = near._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_near_duplicates_stage_never_broadcasts_index_or_probe_rows(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(simhash, "connected_components", lambda edges, f=simhash.connected_components: (seen.append(edges), f(edges))[1])
+    docs = spark.createDataFrame([(i, f"text number {i % 500} of many") for i in range(1000)], "doc_id long, text string")
+    assert corpus_pipeline.near_duplicates(spark, docs, SF).count() <= 500
+    seen[0].collect()
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
