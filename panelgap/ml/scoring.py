@@ -113,7 +113,8 @@ def fit_scorer(sample: DataFrame, train: DataFrame, features: Sequence[str], nam
     codes = [f"{c}_code_" for c in features]
     encoder = CodeEncoder(inputCols=list(features), outputCols=codes, handleInvalid="keep").fit(sample)
     assembler = VectorAssembler(inputCols=codes, outputCol="features")
-    model = make_estimator(name, seed).fit(assembler.transform(encoder.transform(train)))
+    # the copy has no summary, see trees.fit_predict
+    model = make_estimator(name, seed).fit(assembler.transform(encoder.transform(train))).copy()
     return PipelineModel([encoder, assembler, model])
 
 

@@ -43,7 +43,8 @@ def make_estimator(name: str, seed: int = 42):
 def fit_predict(name: str, train: DataFrame, test: DataFrame, codes: Sequence[str]):
     if name == "knn":
         return None, knn_predict(train, test, codes, k=5)
-    model = make_estimator(name).fit(_assemble(train, codes))
+    # a forest's summary holds the session, which can't go to tasks once a load was observed; a copy has none
+    model = make_estimator(name).fit(_assemble(train, codes)).copy()
     pred = model.transform(_assemble(test, codes)).withColumn("prediction", F.col("prediction").cast("long"))
     return model, pred
 

@@ -5,8 +5,10 @@ import dataclasses
 import pyspark.sql.functions as F
 
 from panelgap.config import PanelSpec
-from panelgap.ml.trees import tree_rules
+from panelgap.ml.scoring import fit_scorer, score_profiles
+from panelgap.ml.trees import fit_predict, tree_rules
 from panelgap.operators.clean import RAW_RENAME
+from panelgap.operators.observed import observed
 from panelgap.operators.panel import expand_cube
 from panelgap.operators.rank import rank_by
 from panelgap.plans import model
@@ -69,3 +71,13 @@ def test_tree_rules_stop_at_the_depth(spark):
     rules = [r.rule for r in tree_rules(ml, ["x"], ["x"], max_depth=2).collect()]
     deep = [r for r in rules if len(r) - len(r.lstrip()) - 2 > 2]
     assert rules and all(r.strip() == "..." for r in deep)
+
+
+def test_forests_predict_in_a_session_that_observed_a_load(spark):
+    rows = spark.createDataFrame([(float(i % 3), float(i % 2), i % 2) for i in range(40)], "a double, b double, label int")
+    watched, watch = observed(rows, "load", {"n": F.count(F.lit(1))})
+    assert watched.count() == watch.get["n"] == 40
+    _, pred = fit_predict("random_forest", rows, rows, ["a", "b"])
+    assert [r.prediction for r in pred.collect()] == [r.label for r in pred.collect()]
+    scorer = fit_scorer(rows, rows, ["a", "b"])
+    assert score_profiles(scorer, rows).count() == len(score_profiles(scorer, rows).collect()) == 40
