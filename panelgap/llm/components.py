@@ -14,7 +14,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star steps, each an aggregation and a join,
     until the edges no longer change: then every node points at its root.  Every
-    round is checkpointed, so a lost executor costs at most one round.  Self
+    round is checkpointed, so a lost executor costs at most one round.  The joins
+    are merge joins: no round broadcasts rows, which would pass the driver.  Self
     loops, nulls and repeated edges are ignored.
     """
     ensure_checkpoint_dir(edges.sparkSession)
@@ -25,10 +26,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while seen[0]:
         both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.join(low, "u").where(F.col("v") > F.col("u"))
+        large = (both.join(low.hint("merge"), "u").where(F.col("v") > F.col("u"))
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u")
+        small = (large.join(low.hint("merge"), "u")
                  .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                                            F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
                  .select("e.*").where(F.col("u") != F.col("v")).distinct())

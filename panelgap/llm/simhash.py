@@ -101,15 +101,16 @@ def links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
 
 
 def _classes(fps: DataFrame, best: Column, max_bits: int) -> DataFrame:
-    """``fps(fp, ...)`` -> ``(fp, best)``: for every distinct fingerprint the least ``best`` in its component."""
+    """``fps(fp, ...)`` -> ``(fp, best)``: for every distinct fingerprint the least ``best`` in its component.
+    Here and in the callers rows of documents meet by merge joins: a broadcast would pass the driver."""
     nodes = fps.groupBy("fp").agg(F.min(best).alias("low"))
     # a fingerprint is eight bytes here but some thirty rows in the index and the probes: partitions by rows
     parts = max(fps.sparkSession.sparkContext.defaultParallelism, -(-fps.count() // ROWS_TO_EXPLODE))
     roots = connected_components(links(nodes.select("fp").repartition(parts, "fp"), max_bits))
-    joined = nodes.join(roots, nodes.fp == roots.node, "left").select(
+    joined = nodes.join(roots.hint("merge"), nodes.fp == roots.node, "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root"))
     low = joined.groupBy("root").agg(F.min("low").alias("best"))
-    return joined.join(low, "root").select("fp", "best").checkpoint()
+    return joined.join(low.hint("merge"), "root").select("fp", "best").checkpoint()
 
 
 def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -123,7 +124,7 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """
     ensure_checkpoint_dir(docs.sparkSession)
     fps = with_fingerprints(docs, text, [doc_id], shingle_words).withColumnRenamed(doc_id, "id_").checkpoint()
-    return fps.join(_classes(fps, F.col("id_"), max_bits), "fp").select(
+    return fps.join(_classes(fps, F.col("id_"), max_bits).hint("merge"), "fp").select(
         F.col("id_").alias(doc_id), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("best").alias("component_id"))
 
@@ -139,4 +140,4 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     fps = with_fingerprints(numbered, text, [doc_id, row], shingle_words).checkpoint()
     best = F.struct(column(doc_id).isNull().alias("none"), column(doc_id).alias("id"), F.col(row).alias("row"))
     kept = _classes(fps, best, max_bits).select(F.col("best.row").alias(row)).distinct()
-    return numbered.join(kept, row, "left_semi").drop(row)
+    return numbered.join(kept.hint("merge"), row, "left_semi").drop(row)

@@ -380,3 +380,17 @@ def test_near_duplicates_stage_never_broadcasts_index_or_probe_rows(spark, monke
     seen[0].collect()
     plan = seen[0]._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_near_duplicates_stage_broadcasts_nothing(spark, monkeypatch):
+    """Not even small sides: a broadcast goes through the driver, which holds it until its garbage is collected."""
+    seen, frame = [], type(spark.range(0))
+    monkeypatch.setattr(frame, "checkpoint", lambda self, *a, f=frame.checkpoint: (seen.append(self), f(self, *a))[1])
+    docs = spark.createDataFrame([(i, f"text number {i % 500} of many") for i in range(1000)], "doc_id long, text string")
+    seen += [corpus_pipeline.near_duplicates(spark, docs, SF), simhash.simhash_components(docs)]
+    plans = []
+    for df in seen:
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+    assert len(seen) > 6 and sum("SortMergeJoin" in p for p in plans) > 4
+    assert not [p for p in plans if "Broadcast" in p]
